@@ -1,11 +1,378 @@
-"""All named queries and the SQL they are held against."""
+"""All named queries and the SQL they are held against. Arrays are shown as joined text and floats rounded, so that both sides compare."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions.numeric import conversion, parse
+from ..functions.text import paragraph_chunks, search_text, section_text, sentences, token_estimate
+from ..operators import context, identity, records, retrieve, screening, summaries
+from ..sources import html_meta
+from ..streaming.incremental import event_windows
+from . import adapters as A
+
+QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None, *ctes: str):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = (f"WITH {', '.join(ctes)} " if ctes else "") + sql
+        return f
+
+    return put
+
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLE)
+
+
+def pooled(spark, d) -> DataFrame:
+    return retrieve.with_pools(A.chunks(spark, d), A.FIELDS)
+
+
+RANKED = "SELECT paper_id, field, chunk_id, chunk_index, score, row_number() OVER (PARTITION BY paper_id, field ORDER BY score DESC, CASE WHEN pool = 'preferred' THEN 0 ELSE 1 END, chunk_index, chunk_id) - 1 AS rank FROM pooled WHERE pool <> 'excluded' AND score > 0"
+
+
+@query(f"SELECT paper_id, chunk_id, CAST(min(chunk_index) AS BIGINT) AS chunk_index, string_agg(field, ';' ORDER BY field_ord) AS labels FROM (SELECT r.*, p.field_ord FROM ({RANKED}) r JOIN (SELECT DISTINCT field, field_ord FROM pooled) p USING (field) WHERE rank < 5) GROUP BY ALL", A.CHUNKS, A.POOLED)
+def evidence_topk(spark, d):
+    """Flagship: the five best chunks of every document for every field, and the labels of each chunk."""
+    top = retrieve.regex_rank(pooled(spark, d), A.FIELDS).filter("rank < 5")
+    return top.groupBy("paper_id", "chunk_id").agg(F.min("chunk_index").cast("long").alias("chunk_index"), F.array_join(F.array_sort(F.collect_list(F.struct("field_ord", "field")))["field"], ";").alias("labels"))
+
+
+@query("SELECT field, pool, count(*) AS n FROM pooled GROUP BY ALL", A.CHUNKS, A.POOLED)
+def section_pool_counts(spark, d):
+    section = section_text("section_path")
+    return retrieve.by_field(A.chunks(spark, d), A.FIELDS, lambda f: [retrieve.pool(section, f.include, f.exclude).alias("pool")], "pool").groupBy("field", "pool").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT paper_id, field, chunk_id, score, rank FROM ({RANKED}) WHERE rank < 20", A.CHUNKS, A.POOLED)
+def regex_rank(spark, d):
+    return retrieve.regex_rank(pooled(spark, d), A.FIELDS).select("paper_id", "field", "chunk_id", "score", F.col("rank").cast("long").alias("rank"))
+
+
+HEADS = " UNION ALL ".join(
+    f"SELECT paper_id, '{f.name}' AS field, chunk_id, chunk_index, pool, " + " + ".join(f"CASE WHEN contains(lower(caption), '{k}') THEN 2.0 ELSE 0 END + CASE WHEN len(list_filter(headers, lambda x: contains(lower(x), '{k}'))) > 0 THEN 1.5 ELSE 0 END" for k in f.keywords) + f" AS score FROM pooled WHERE field = '{f.name}' AND chunk_type = 'table' AND pool <> 'excluded'"
+    for f in A.FIELDS
+)
+
+
+@query(f"SELECT paper_id, field, chunk_id, CAST(score AS DOUBLE) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, field ORDER BY score DESC, CASE WHEN pool = 'preferred' THEN 0 ELSE 1 END, chunk_index, chunk_id) - 1 AS rank FROM ({HEADS}) WHERE score > 0) WHERE rank < 10", A.CHUNKS, A.POOLED)
+def table_header_rank(spark, d):
+    return retrieve.table_rank(pooled(spark, d).filter("chunk_type = 'table'"), A.FIELDS).select("paper_id", "field", "chunk_id", "score", F.col("rank").cast("long").alias("rank"))
+
+
+NEAR = "near AS (SELECT e.label AS paper_id, q.field, e.vec_id AS chunk_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS distance FROM embeddings e, (SELECT 'q' || vec_id AS field, embedding FROM embeddings WHERE vec_id IN (0, 7)) q)"
+SEMANTIC = "semantic AS (SELECT paper_id, field, chunk_id, distance, row_number() OVER (PARTITION BY paper_id, field ORDER BY raw) - 1 AS rank FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, field ORDER BY distance, chunk_id) - 1 AS raw FROM near) WHERE raw < 20 AND chunk_id % 3 <> 0)"
+
+
+def semantic(spark, d) -> DataFrame:
+    """Vectors of a label as a paper's chunks; those divisible by 3 are outside the pool. Two queries, by id."""
+    vectors = A.table(spark, d, "embeddings").select(F.col("label").alias("paper_id"), F.col("vec_id").alias("chunk_id"), "embedding")
+    asked = A.table(spark, d, "embeddings").filter(F.col("vec_id").isin(0, 7)).select(F.concat(F.lit("q"), F.col("vec_id").cast("string")).alias("field"), F.col("embedding").alias("query"))
+    allowed = vectors.select("paper_id", "chunk_id").filter("chunk_id % 3 <> 0").crossJoin(F.broadcast(asked.select("field")))
+    return retrieve.semantic_rank(vectors, asked, 10, allowed)
+
+
+@query("SELECT paper_id, field, chunk_id, round(distance, 6) AS distance, rank FROM semantic WHERE rank < 10", NEAR, SEMANTIC)
+def semantic_rank_filtered(spark, d):
+    return semantic(spark, d).select("paper_id", "field", "chunk_id", F.round("distance", 6).alias("distance"), F.col("rank").cast("long").alias("rank"))
+
+
+FUSE = """signals AS (SELECT paper_id, field, chunk_id, 'semantic' AS source, 0 AS list_ord, rank FROM semantic WHERE rank < 10 UNION ALL
+  SELECT label, 'q0', vec_id, 'regex', 1, row_number() OVER (PARTITION BY label ORDER BY vec_id % 11 DESC, vec_id) - 1 AS r FROM embeddings WHERE vec_id % 2 = 0 QUALIFY r < 10),
+fused AS (SELECT paper_id, field, chunk_id, sum(1.0 / (60 + rank + 1)) AS s, min(list_ord * 1000 + rank) AS first, string_agg(source, ';' ORDER BY list_ord) AS sources FROM signals GROUP BY ALL)"""
+
+
+@query("SELECT paper_id, field, chunk_id, round(CAST(s AS DOUBLE), 9) AS rrf_score, sources, hybrid_rank FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, field ORDER BY round(CAST(s AS DOUBLE), 12) DESC, first, chunk_id) AS hybrid_rank FROM fused) WHERE hybrid_rank <= 5", NEAR, SEMANTIC, FUSE)
+def rrf_fusion(spark, d):
+    one = semantic(spark, d).select("paper_id", "field", "chunk_id", F.lit("semantic").alias("source"), F.lit(0).alias("list_ord"), "rank")
+    w = Window.partitionBy("label").orderBy(F.desc(F.col("vec_id") % 11), "vec_id")
+    two = A.table(spark, d, "embeddings").filter("vec_id % 2 = 0").withColumn("rank", F.row_number().over(w) - 1).filter("rank < 10")
+    two = two.select(F.col("label").alias("paper_id"), F.lit("q0").alias("field"), F.col("vec_id").alias("chunk_id"), F.lit("regex").alias("source"), F.lit(1).alias("list_ord"), "rank")
+    out = retrieve.fuse(one.unionByName(two), ["paper_id", "field"], 5)
+    return out.select("paper_id", "field", "chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("sources", ";").alias("sources"), F.col("hybrid_rank").cast("long").alias("hybrid_rank"))
+
+
+@query()
+def labeling_composite(spark, d):
+    """Text and table channels with their pools, fused (held against a plain version in the tests)."""
+    out = retrieve.label_evidence(A.chunks(spark, d), A.FIELDS)
+    return out.select("paper_id", "field", "channel", "chunk_id", "hybrid_rank", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("sources", ";").alias("sources"))
+
+
+def labeled(spark, d) -> DataFrame:
+    chunks = A.chunks(spark, d)
+    return retrieve.label_chunks(retrieve.regex_rank(retrieve.with_pools(chunks, A.FIELDS), A.FIELDS).filter("rank < 5"), chunks, A.FIELDS)
+
+
+LABELED = f"labeled AS (SELECT r.paper_id, r.chunk_id, r.field, c.chunk_type, c.section, c.chunk_index FROM ({RANKED}) r JOIN chunks c USING (chunk_id) WHERE rank < 5)"
+
+
+@query("SELECT paper_id, chunk_id, CAST(chunk_index AS INTEGER) AS chunk_index, chunk_type, section, string_agg(field, ';' ORDER BY field) AS labels FROM labeled GROUP BY ALL", A.CHUNKS, A.POOLED, LABELED)
+def label_aggregate(spark, d):
+    return labeled(spark, d).select("paper_id", "chunk_id", "chunk_index", "chunk_type", section_text("section_path").alias("section"), F.array_join("labels", ";").alias("labels"))
+
+
+@query("SELECT field, count(*) AS chunks, count(DISTINCT paper_id) AS papers FROM labeled GROUP BY ALL", A.CHUNKS, A.POOLED, LABELED)
+def labeling_summary_by_field(spark, d):
+    return summaries.labels_by_field(labeled(spark, d)).select("field", "chunks", F.size("papers").cast("long").alias("papers"))
+
+
+@query("SELECT paper_id, count(DISTINCT chunk_id) AS labeled_chunks, count(*) AS assignments FROM labeled GROUP BY ALL", A.CHUNKS, A.POOLED, LABELED)
+def labeling_summary_by_paper(spark, d):
+    return summaries.labels_by_paper(labeled(spark, d))
+
+
+#: Numeric evidence in this text: words in the place of endpoints and values (the real patterns are held against cases in the tests).
+END, VAL = "(the|de|la) [a-z]+", "[a-z]+(tion|ment|ing)"
+NUMERIC = f"""numeric AS (SELECT *, 1.0 + CASE WHEN chunk_type = 'table' THEN 4.0 ELSE 0 END + CASE WHEN contains(lower(section), 'result') THEN 5.0 ELSE 0 END
+  - CASE WHEN contains(lower(section), 'method') OR contains(lower(section), 'materials') OR contains(lower(section), 'introduction') OR contains(lower(section), 'discussion') THEN 4.0 ELSE 0 END
+  + 0.75 * least(len(regexp_extract_all(text, '(?i)({VAL})', 1)), 4) AS score FROM chunks WHERE regexp_matches(text, '(?i){END}') AND regexp_matches(text, '(?i){VAL}')),
+evidence AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY score DESC, chunk_index, chunk_id) AS rank FROM numeric WHERE score > 0 QUALIFY rank <= 8)"""
+
+
+@query("SELECT paper_id, chunk_id, CAST(score AS DOUBLE) AS score, rank FROM evidence", A.CHUNKS, NUMERIC)
+def numeric_evidence_top8(spark, d):
+    return context.numeric_evidence(A.chunks(spark, d), endpoint=END, value=VAL).select("paper_id", "chunk_id", "score", F.col("rank").cast("long").alias("rank"))
+
+
+BUDGET = """cand AS (SELECT c.*, length(c.text) AS n_chars, CASE WHEN c.chunk_type = 'abstract' THEN 1 WHEN e.chunk_id IS NOT NULL THEN 2 WHEN l.chunk_id IS NOT NULL THEN 3 END AS step
+  FROM chunks c LEFT JOIN (SELECT DISTINCT chunk_id FROM evidence) e USING (chunk_id) LEFT JOIN (SELECT DISTINCT chunk_id FROM labeled) l USING (chunk_id)),
+run AS (SELECT *, sum(n_chars) OVER (PARTITION BY paper_id, step ORDER BY chunk_index, chunk_id) AS run, coalesce(sum(CASE WHEN step = 1 THEN n_chars END) OVER (PARTITION BY paper_id), 0) AS base1 FROM cand WHERE step IS NOT NULL),
+two AS (SELECT *, step = 2 AND base1 + run <= 1500 AS keep2 FROM run), three AS (SELECT *, base1 + coalesce(sum(CASE WHEN keep2 THEN n_chars END) OVER (PARTITION BY paper_id), 0) AS base3 FROM two)"""
+
+
+def kept(spark, d) -> DataFrame:
+    chunks = A.chunks(spark, d)
+    some = context.candidates(chunks, labeled(spark, d), context.numeric_evidence(chunks, endpoint=END, value=VAL))
+    return context.budgeted(some.withColumn("n_chars", F.length("text")), 1500)
+
+
+@query("SELECT paper_id, chunk_id, step, row_number() OVER (PARTITION BY paper_id ORDER BY step, chunk_index, chunk_id) AS context_order FROM three WHERE step = 1 OR keep2 OR (step = 3 AND base3 + run <= 1500)", A.CHUNKS, A.POOLED, LABELED, NUMERIC, BUDGET)
+def context_budget(spark, d):
+    return kept(spark, d).select("paper_id", "chunk_id", "step", F.col("context_order").cast("long").alias("context_order"))
+
+
+@query()
+def record_attribution(spark, d):
+    """Each document's first words as a record, traced to its chunks (held against a plain version in the tests)."""
+    chunks = A.chunks(spark, d)
+    found = chunks.filter("chunk_index = 0").select("paper_id", F.concat("paper_id", F.lit("::r0001")).alias("record_id"), F.substring_index(search_text("text"), " ", 3).alias("endpoint"), F.lit("none").alias("value"))
+    out = context.attribute(found, kept(spark, d), ["endpoint", "value"])
+    return out.select("record_id", F.array_join("source_chunk_ids", ";").alias("source_chunk_ids"))
+
+
+@query("SELECT paper_id, record_type, endpoint, CAST(min(_pos) AS INTEGER) AS _pos FROM records GROUP BY ALL", A.RECORDS)
+def dedupe_cleanup(spark, d):
+    return records.clean_records(A.records(spark, d).select("paper_id", "record_type", "endpoint", "_pos"), ["record_type", "endpoint"])
+
+
+@query("SELECT paper_id, _pos, printf('%s::r%04d', paper_id, row_number() OVER (PARTITION BY paper_id ORDER BY _pos)) AS record_id FROM records WHERE size % 2 = 0", A.RECORDS)
+def record_numbering(spark, d):
+    return records.number_records(A.records(spark, d).filter("size % 2 = 0")).select("paper_id", "_pos", "record_id")
+
+
+CONSTRAINT = records.EndpointConstraint({"Standard_TIN": ["Brand#11", "Brand#12"], "promo steel": ["Brand#21", "Brand#22"], "ECONOMY BRASS": ["Brand#11"]}, {"Brand#12": ["Brand#13", "brand 13"], "Brand#21": ["Brand#31"]})
+RESOLVED = """allowed(t, e) AS (VALUES ('standard tin', 'brand#11'), ('standard tin', 'brand#12'), ('promo steel', 'brand#21'), ('promo steel', 'brand#22'), ('economy brass', 'brand#11')), alias(a, c) AS (VALUES ('brand#13', 'brand#12'), ('brand#31', 'brand#21')),
+resolved AS (SELECT r.*, coalesce(x.e, y.e) AS found FROM records r LEFT JOIN allowed x ON lower(record_type) = x.t AND lower(endpoint) = x.e LEFT JOIN alias ON lower(endpoint) = a LEFT JOIN allowed y ON lower(record_type) = y.t AND c = y.e)"""
+
+
+@query("SELECT record_id, replace(found, 'brand', 'Brand') AS endpoint FROM resolved WHERE found IS NOT NULL", A.RECORDS, RESOLVED)
+def endpoint_constraint(spark, d):
+    return CONSTRAINT.apply(A.records(spark, d)).select("record_id", "endpoint")
+
+
+@query("SELECT record_type || ' | ' || endpoint AS combo, count(*) AS n FROM resolved WHERE found IS NULL GROUP BY ALL", A.RECORDS, RESOLVED)
+def constraint_combo_counts(spark, d):
+    return CONSTRAINT.rejected(A.records(spark, d))
+
+
+NUMBERS = r"""numbers AS (SELECT *, CASE WHEN value = 'not reported' OR value LIKE 'grade%' THEN NULL WHEN value LIKE '%(%' THEN 'reported_with_range' WHEN value LIKE '%+/-%' THEN 'plus_minus' WHEN regexp_matches(value, '^[0-9]+-[0-9]+ ') THEN 'range' WHEN value LIKE '<%' THEN '<' ELSE 'eq' END AS operator,
+  CAST(regexp_extract(value, '([0-9]+)', 1) AS DOUBLE) AS a, TRY_CAST(regexp_extract(value, '-([0-9]+)', 1) AS DOUBLE) AS b FROM records),
+parsed AS (SELECT *, CASE WHEN value LIKE '%months' THEN 'month' WHEN value LIKE '%Pa' THEN 'MPa' WHEN value LIKE '%nm' THEN 'nm' WHEN value LIKE '%weeks' THEN 'week' END AS unit, CASE WHEN value LIKE '%GPa' THEN 1000.0 ELSE 1.0 END AS factor FROM numbers),
+norms AS (SELECT value, record_id, paper_id, _pos, chunk, record_type, endpoint, operator, CASE WHEN operator = 'range' THEN (a + b) / 2 ELSE a * factor END AS v, CASE operator WHEN 'range' THEN a WHEN 'reported_with_range' THEN 1.0 END AS lo, CASE operator WHEN 'range' THEN b WHEN 'reported_with_range' THEN b WHEN '<' THEN a END AS hi,
+  CASE WHEN operator = 'plus_minus' THEN 2.0 * factor END AS err, unit FROM parsed)"""
+
+
+@query("SELECT record_id, operator, round(v, 6) AS v, round(lo, 6) AS lo, round(hi, 6) AS hi, round(err, 6) AS err, unit FROM norms WHERE operator IS NOT NULL", A.RECORDS, NUMBERS)
+def numeric_parse(spark, d):
+    rows = A.records(spark, d).select("record_id", parse("value", F.when(F.col("_pos").isin(2, 3), "MPa").otherwise(F.lit(None).cast("string"))).alias("n")).filter("n is not null")
+    six = lambda c: F.round(c, 6)
+    return rows.select("record_id", "n.operator", six("n.value").alias("v"), six("n.value_min").alias("lo"), six("n.value_max").alias("hi"), six("n.error").alias("err"), "n.unit")
+
+
+UNITS = ["GPa", "years", "nm", "mm", "um", "h", "months"]
+TARGETS = ["MPa", "month", "um", "um", "nm", "day", "year"]
+
+
+@query("SELECT p_partkey, round(p_retailprice * [1000.0, 12.0, 0.001, 1000.0, 1000.0, 1.0, 1 / 12.0][i], 6) AS v, ['MPa', 'month', 'um', 'um', 'nm', 'h', 'year'][i] AS unit FROM (SELECT *, CAST(p_size % 7 + 1 AS INTEGER) AS i FROM part)")
+def unit_convert(spark, d):
+    at = lambda some: F.element_at(F.array(*map(F.lit, some)), F.col("p_size") % 7 + 1)
+    rows = A.table(spark, d, "part").select("p_partkey", "p_retailprice", conversion(at(UNITS), at(TARGETS)).alias("to"))
+    return rows.select("p_partkey", F.round(F.col("p_retailprice") * F.col("to.factor"), 6).alias("v"), F.col("to.unit").alias("unit"))
+
+
+TERMS = {"metal alloy": ["copper", "nickel"], "steel": ["STEEL", "iron-like"], "tin": ["TIN"], "brass": []}
+
+
+@query("SELECT p_partkey, CASE WHEN contains(t, 'metalalloy') OR contains(t, 'copper') OR contains(t, 'nickel') THEN 'metal alloy' WHEN contains(t, 'steel') THEN 'steel' WHEN regexp_matches(p_type, '(?i)\\btin\\b') THEN 'tin' WHEN contains(t, 'brass') THEN 'brass' ELSE p_type END AS term FROM (SELECT *, regexp_replace(lower(p_type), '[^a-z0-9]+', '', 'g') AS t FROM part)")
+def standardize_terms(spark, d):
+    return A.table(spark, d, "part").select("p_partkey", records.standard_terms("p_type", TERMS).alias("term"))
+
+
+POST = records.PostConfig(numeric={"value": {"unit": None}}, standardize={"record_type": {"terms": {"tin": ["STANDARD TIN", "PROMO TIN"]}, "match": "exact"}}, required_any=["value"])
+POST_FIELDS = ["value", "record_type"]
+
+
+def post_rows(spark, d) -> DataFrame:
+    return A.records(spark, d).select("paper_id", "record_id", "value", "record_type", "source_chunk_ids", "_pos")
+
+
+TIN = "CASE WHEN lower(record_type) IN ('standard tin', 'promo tin', 'tin') THEN 'tin' ELSE lower(record_type) END"
+
+
+@query("SELECT record_id FROM records WHERE value <> 'not reported'", A.RECORDS)
+def validity_filter(spark, d):
+    return records.flagged(post_rows(spark, d), POST_FIELDS, POST).filter("not invalid").select("record_id")
+
+
+@query(f"SELECT paper_id, min_by(record_id, _pos) AS record_id, string_agg(DISTINCT 'c' || _pos, ';' ORDER BY 'c' || _pos) AS source_chunk_ids FROM records WHERE value <> 'not reported' GROUP BY paper_id, lower(value), {TIN}", A.RECORDS)
+def postprocess_dedupe_merge(spark, d):
+    return records.postprocess(post_rows(spark, d), POST_FIELDS, POST).select("paper_id", "record_id", F.array_join("source_chunk_ids", ";").alias("source_chunk_ids"))
+
+
+@query(f"SELECT count(*) AS records_input, count(*) FILTER (value <> 'not reported') AS records_after_validation, count(DISTINCT CASE WHEN value <> 'not reported' THEN paper_id || '|' || lower(value) || '|' || {TIN} END) AS records_output, count(*) FILTER (value = 'not reported') AS invalid_removed, CAST(0 AS BIGINT) AS invalid_numeric_removed, count(*) FILTER (value <> 'not reported' AND value NOT LIKE 'grade%') AS numeric_values_parsed FROM records", A.RECORDS)
+def postprocess_summary(spark, d):
+    return records.postprocess_summary(post_rows(spark, d), POST_FIELDS, POST).drop("standardized_values", "duplicates_removed")
+
+
+@query("SELECT paper_id, record_id, value, endpoint, CASE WHEN operator IS NULL THEN '' ELSE operator END AS value_operator, coalesce(CASE WHEN value LIKE '%GPa' THEN 'GPa' ELSE unit END, '') AS value_unit, chunk AS source_chunk_ids FROM norms WHERE value <> 'not reported'", A.RECORDS, NUMBERS)
+def records_csv_projection(spark, d):
+    rows = A.records(spark, d).select("paper_id", "record_id", "value", "endpoint", "source_chunk_ids", "_pos")
+    flat = records.csv_rows(records.flagged(rows, ["value", "endpoint"], POST).filter("not invalid"), ["value", "endpoint"], ["value"])
+    return flat.select("paper_id", "record_id", "value", "endpoint", "value_operator", "value_unit", "source_chunk_ids")
+
+
+KEYED = "keyed AS (SELECT *, coalesce('doi:' || nullif(lower(doi), ''), 'pmid:' || nullif(pmid, ''), 'wos_uid:' || nullif(lower(wos_uid), ''), 'title:' || lower(title)) AS k, row_number() OVER (PARTITION BY coalesce('doi:' || nullif(lower(doi), ''), 'pmid:' || nullif(pmid, ''), 'wos_uid:' || nullif(lower(wos_uid), ''), 'title:' || lower(title)) ORDER BY _pos) AS n FROM cands)"
+
+
+@query("SELECT _pos, doi, pmid, wos_uid, title FROM keyed WHERE n = 1", A.CANDIDATES, KEYED)
+def wos_dedupe(spark, d):
+    return identity.dedupe_candidates(A.candidates(spark, d)).select("_pos", "doi", "pmid", "wos_uid", "title")
+
+
+@query("SELECT _pos, CASE WHEN wos_uid <> '' THEN replace(wos_uid, 'WOS:', 'WOS_') WHEN pmid <> '' THEN 'PMID_' || pmid WHEN doi <> '' THEN replace('DOI_' || doi, '/', '_') ELSE replace('WOS_TITLE_' || title, '#', '_') END AS paper_id FROM cands", A.CANDIDATES)
+def paper_id_derive(spark, d):
+    return A.candidates(spark, d).select("_pos", identity.paper_id().alias("paper_id"))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (doi <> '') AS with_doi, count(*) FILTER (pmid <> '') AS with_pmid, count(*) FILTER (abstract <> '') AS with_abstract FROM cands", A.CANDIDATES)
+def ingest_summary(spark, d):
+    return summaries.ingest_summary(A.candidates(spark, d))
+
+
+DONE = "done AS (SELECT doi AS id FROM cands WHERE _pos % 10 = 0 UNION SELECT pmid FROM cands WHERE _pos % 10 = 0 UNION SELECT wos_uid FROM cands WHERE _pos % 10 = 0)"
+
+
+@query("SELECT _pos FROM cands WHERE NOT ((doi <> '' AND doi IN (SELECT id FROM done)) OR (pmid <> '' AND pmid IN (SELECT id FROM done)) OR (wos_uid <> '' AND wos_uid IN (SELECT id FROM done)))", A.CANDIDATES, DONE)
+def identity_antijoin(spark, d):
+    rows = A.candidates(spark, d)
+    return identity.pending(rows, rows.filter("_pos % 10 = 0")).select("_pos")
+
+
+@query("SELECT _pos FROM cands WHERE NOT ((doi <> '' AND doi IN (SELECT id FROM done)) OR (pmid <> '' AND pmid IN (SELECT id FROM done)) OR (wos_uid <> '' AND wos_uid IN (SELECT id FROM done))) ORDER BY _pos LIMIT 25", A.CANDIDATES, DONE)
+def pending_limit(spark, d):
+    rows = A.candidates(spark, d)
+    return identity.limited(identity.pending(rows, rows.filter("_pos % 10 = 0")), 25).select("_pos")
+
+
+@query("SELECT DISTINCT user_id AS paper_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type IN ('purchase', 'view'))")
+def status_antijoin(spark, d):
+    events = A.table(spark, d, "events").select(F.col("user_id").alias("paper_id"), F.when(F.col("event_type") == "purchase", "ok").when(F.col("event_type") == "view", "skipped:no_context").otherwise("failed:TimeoutError").alias("status"))
+    return identity.unfinished(events.select("paper_id").distinct(), events)
+
+
+@query("SELECT user_id AS paper_id, event_id, value FROM events WHERE event_id % 2 = 0 AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 5 = 1) UNION ALL SELECT user_id, event_id, value FROM events WHERE event_id % 5 = 1")
+def replace_by_key(spark, d):
+    events = A.table(spark, d, "events").select(F.col("user_id").alias("paper_id"), "event_id", "value")
+    return identity.replace_by_key(events.filter("event_id % 2 = 0"), events.filter("event_id % 5 = 1"))
+
+
+CRITERIA = [screening.Criterion("quality", uncertain_policy="reject"), screening.Criterion("toxic", uncertain_policy="pass"), screening.Criterion("extra", required=False)]
+JUDGED = """judged AS (SELECT d.doc_id, CASE l.quality WHEN 1 THEN 'true' WHEN 0 THEN 'false' ELSE 'uncertain' END AS q, CASE l.toxic WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE 'uncertain' END AS t FROM documents d LEFT JOIN labels l USING (doc_id)),
+decided AS (SELECT *, concat_ws('; ', CASE WHEN q <> 'true' THEN 'quality=' || q END, CASE WHEN t = 'false' THEN 'toxic=false' END) AS why FROM judged)"""
+
+
+def judged(spark, d) -> DataFrame:
+    rows = A.table(spark, d, "documents").select("doc_id").join(A.table(spark, d, "labels"), "doc_id", "left")
+    said = lambda c, yes, no: F.when(F.col(c) == yes, "true").when(F.col(c) == no, "false").otherwise("uncertain")
+    raw = F.concat(F.lit('Answer: {"quality": {"answer": "'), said("quality", 1, 0), F.lit('"}, "toxic": {"answer": "'), said("toxic", 0, 1), F.lit('", "reason": ""}} end'))
+    rows = rows.select("doc_id", screening.answers(raw, CRITERIA).alias("criteria"))
+    decision, reason = screening.decide("criteria", CRITERIA)
+    return rows.withColumn("decision", decision).withColumn("reason", reason)
+
+
+@query("SELECT doc_id, CASE WHEN why = '' THEN 'pass' ELSE 'reject' END AS decision, CASE WHEN why = '' THEN 'all required criteria passed' ELSE why END AS reason FROM decided", JUDGED)
+def criteria_decision(spark, d):
+    return judged(spark, d).select("doc_id", "decision", "reason")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (why = '') AS passed, count(*) FILTER (why <> '') AS rejected, CAST(0 AS BIGINT) AS dry_run, CAST(0 AS BIGINT) AS error FROM decided", JUDGED)
+def decision_counts(spark, d):
+    return screening.decision_counts(judged(spark, d))
+
+
+@query("SELECT event_id, coalesce(CAST(json_extract_string(props, '$.' || json_keys(props)[1]) AS VARCHAR), '') AS v FROM events")
+def criteria_json_parse(spark, d):
+    """The first value of JSON text within other text."""
+    from ..functions.text import json_object
+
+    rows = A.table(spark, d, "events").select("event_id", json_object(F.concat(F.lit("```json\n"), "props", F.lit("\n```")), "map<string,string>").alias("m"))
+    return rows.select("event_id", F.coalesce(F.get(F.map_values("m"), F.lit(0)), F.lit("")).alias("v"))
+
+
+@query("SELECT doc_id, CAST(greatest(1, length(text) // 4) AS INTEGER) AS tokens FROM documents")
+def token_estimate_query(spark, d):
+    return A.table(spark, d, "documents").select("doc_id", token_estimate("text").alias("tokens"))
+
+
+@query()
+def paragraph_chunking(spark, d):
+    return A.table(spark, d, "documents").select("doc_id", F.posexplode(paragraph_chunks("text")).alias("part", "text"))
+
+
+@query()
+def sentence_split(spark, d):
+    return A.table(spark, d, "documents").select("doc_id", F.posexplode(sentences("text")).alias("part", "text"))
+
+
+@query("SELECT count(*) AS total_chunks, count(*) FILTER (chunk_type = 'paragraph') AS n_paragraph, count(*) FILTER (chunk_type = 'abstract') AS n_abstract, count(*) FILTER (chunk_type = 'table') AS n_table, count(DISTINCT paper_id) AS parsed_ok FROM chunks", A.CHUNKS)
+def chunk_type_summary(spark, d):
+    return summaries.chunk_summary(A.chunks(spark, d))
+
+
+@query()
+def html_light_metadata(spark, d):
+    """Title, abstract, front matter and doi of pages by our own tag-soup rules (held against cases in the tests)."""
+    return html_meta.titles(A.table(spark, d, "pages")).select("page_id", "title", "abstract", "front_matter", "doi")
+
+
+@query("SELECT doi AS id, 'both' AS kind FROM (SELECT doi FROM cands WHERE doi <> '' AND _pos % 2 = 0 INTERSECT SELECT doi FROM cands WHERE doi <> '' AND _pos % 2 = 1) UNION ALL SELECT doi, 'even only' FROM (SELECT doi FROM cands WHERE doi <> '' AND _pos % 2 = 0 EXCEPT SELECT doi FROM cands WHERE doi <> '' AND _pos % 2 = 1)", A.CANDIDATES)
+def set_ops_ids(spark, d):
+    ids = A.candidates(spark, d).filter("doi <> ''")
+    even, odd = (ids.filter(f"_pos % 2 = {k}").select(F.col("doi").alias("id")) for k in (0, 1))
+    return even.intersect(odd).withColumn("kind", F.lit("both")).unionByName(even.subtract(odd).withColumn("kind", F.lit("even only")))
+
+
+@query("SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def event_windows_daily(spark, d):
+    return event_windows(A.table(spark, d, "events")).withColumn("total", F.round("total", 4))

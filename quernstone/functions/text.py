@@ -74,7 +74,7 @@ def safe_id(c) -> Column:
 
 def sentences(c) -> Column:
     """Cut after . ! ? before white space and a capital or digit (also behind an opening quote or bracket)."""
-    return F.filter(F.transform(F.split(col(c), r"(?<=[.!?])(?U:\s+)(?=[\"'“(\[]?[A-Z0-9])"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(col(c), r"(?<=[.!?])(?U:\s+)(?=[\"'“(\[]?[A-Z0-9])"), lambda x: F.trim(x)), lambda s: s != "")
 
 
 def token_estimate(c) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -62,11 +63,10 @@ def embed(rows: DataFrame, text: str = "text", batch: int = 32, function=hash_em
                 time.sleep(min(30, 2 * 2**k))
 
     @F.pandas_udf("array<double>")
-    def vectors(parts):
+    def vectors(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:
             yield pd.Series([v for k in range(0, len(s), batch) for v in call(s.iloc[k : k + batch].tolist())], index=s.index)
 
-    vectors.func.__annotations__ = {}
     return rows.withColumn("embedding", vectors(F.col(text)))
 
 

@@ -123,7 +123,7 @@ def label_evidence(chunks: DataFrame, fields: list[Field], semantic: DataFrame |
     Tables: header, vector and pattern hits among preferred tables if there are more tables than table_top_k, in all tables otherwise and when the fused list falls short.
     Both pools are ranked in one pass, and each paper and field takes the one it needs."""
     pooled = with_pools(chunks, fields).withColumn("channel", F.when(F.col("chunk_type") == "table", "table").otherwise("text"))
-    setting = lambda name: reduce(lambda a, f: a.when(F.col("field") == f.name, F.lit(getattr(f, name))), fields, F.when(F.lit(False), F.lit(0)))
+    setting = lambda name: reduce(lambda a, f: a.when(F.col("field") == f.name, F.lit(int(getattr(f, name)))), fields, F.when(F.lit(False), F.lit(0)))
     keys = ["paper_id", "field", "channel"]
     sizes = pooled.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.col("pool") == "preferred").alias("n_preferred"))
     text, table = pooled.filter("channel = 'text'"), pooled.filter("channel = 'table'")

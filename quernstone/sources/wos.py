@@ -19,7 +19,7 @@ def records(files: DataFrame) -> DataFrame:
     # a continuation belongs to the line before it
     lines = F.split(F.regexp_replace("body", r"\n[ \t]+(?=\S)", "\x1e"), "\n")
     tagged = F.filter(lines, lambda x: x.rlike(r"^[A-Z0-9]{2}\s"))
-    entry = F.transform(tagged, lambda x: F.struct(F.substring(x, 1, 2).alias("tag"), F.filter(F.transform(F.split(F.substring(x, 4, 1 << 30), "\x1e"), F.trim), lambda p: p != "").alias("parts")))
+    entry = F.transform(tagged, lambda x: F.struct(F.substring(x, 1, 2).alias("tag"), F.filter(F.transform(F.split(F.substring(x, 4, 1 << 30), "\x1e"), lambda x: F.trim(x)), lambda p: p != "").alias("parts")))
     tags = F.array_distinct(F.transform("entries", lambda e: e["tag"]))
     rows = parts.withColumn("entries", entry).filter(F.size("entries") > 0)
     whole = F.map_from_arrays(tags, F.transform(tags, lambda t: F.flatten(F.transform(F.filter("entries", lambda e: e["tag"] == t), lambda e: e["parts"]))))
@@ -29,7 +29,7 @@ def records(files: DataFrame) -> DataFrame:
 def normalise(rows: DataFrame) -> DataFrame:
     """Records as candidate papers; _pos is the place in file order."""
     text = lambda t: F.coalesce(collapse(F.array_join(F.col("fields")[t], " ")), F.lit(""))
-    listed = lambda t: F.coalesce(F.filter(F.transform(F.flatten(F.transform(F.col("fields")[t], lambda p: F.split(p, ";"))), F.trim), lambda x: x != ""), F.array().cast("array<string>"))
+    listed = lambda t: F.coalesce(F.filter(F.transform(F.flatten(F.transform(F.col("fields")[t], lambda p: F.split(p, ";"))), lambda x: F.trim(x)), lambda x: x != ""), F.array().cast("array<string>"))
     people = F.coalesce(F.col("fields")["AU"], F.array().cast("array<string>"))
     out = rows.select(
         F.lit("wos").alias("metadata_source"), "source_path", F.regexp_extract("source_path", r"([^/\\]+)$", 1).alias("source_file"), F.lit("metadata").alias("file_type"),
@@ -46,5 +46,5 @@ def read(spark: SparkSession, *paths: str) -> DataFrame:
     """Candidates of the .txt files at the paths (files or folders), duplicates dropped, first ones kept. A missing path raises."""
     if not paths:
         raise ValueError("no input path")
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(list(paths)).select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("content"))
+    files = spark.read.option("pathGlobFilter", "*.txt").text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("content"))
     return dedupe_candidates(normalise(records(files)))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
 import zlib
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +42,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts are long: unless the session says otherwise, Python workers get 1,000 rows or 16 MB at a time instead of 10,000 rows."""
+    for key, default, ours in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", None, str(16 << 20))):
+        now = spark.conf.get(key, None)
+        if now == default or (default is None and now is not None and int(re.sub(r"\D", "", now) or 0) > 16 << 20):
+            spark.conf.set(key, ours)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def total_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of a text column; one number to the driver."""
     return docs.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0
@@ -67,3 +84,145 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: 1: ASCII letters, 2: marks after which a word may be cut.
+KINDS = np.zeros(256, np.uint8)
+KINDS[[*range(65, 91), *range(97, 123)]] = 1
+KINDS[list(b".,;:!?")] = 2
+#: A number for each byte, and the base that tells places in a word apart; odd, so that it has an inverse.
+BYTES = np.random.default_rng(13).integers(0, 2**64, 256, np.uint64)
+BASE = 0x9E3779B97F4A7C15
+MIX = np.uint64(0xBF58476D1CE4E5B9)
+PIECE = 1 << 16
+powers: dict[int, np.ndarray] = {}
+
+
+def mix(a: np.ndarray) -> np.ndarray:
+    a = (a ^ (a >> np.uint64(31))) * MIX
+    return a ^ (a >> np.uint64(29))
+
+
+def power(base: int, n: int) -> np.ndarray:
+    """base to the powers 0 to n - 1, modulo 2^64."""
+    if base not in powers or len(powers[base]) < n:
+        steps = np.full(n, base, np.uint64)
+        steps[:1] = 1
+        powers[base] = np.multiply.accumulate(steps)
+    return powers[base][:n]
+
+
+def rolled(a: np.ndarray, size: int, base: int = BASE) -> np.ndarray:
+    """A hash of each `size` consecutive numbers (hashes themselves); a base gives one family of hashes."""
+    n, step = max(0, len(a) - size + 1), 1 << 15
+    out, up, down = np.empty(n, np.uint64), power(base, step + size), power(pow(base, -1, 2**64), step + size)
+    total = np.zeros(step + size, np.uint64)
+    for s in range(0, n, step):
+        x = a[s : s + step + size - 1]
+        np.cumsum(x * up[: len(x)], out=total[1 : len(x) + 1])
+        m = len(x) - size + 1
+        out[s : s + m] = mix((total[size : size + m] - total[:m]) * down[:m])
+    return out
+
+
+class Words:
+    """Words of many texts, found without an object for each: all texts one after another, and where words start and end."""
+
+    def __init__(self, texts: list[bytes | None], lower: bool = False, stops: bool = False):
+        """stops: a word also ends between an ASCII letter and one of .,;:!?"""
+        data = b"\n".join([*(t or b"" for t in texts), b""])
+        self.data = data.lower() if lower else data
+        self.bytes = np.frombuffer(self.data, np.uint8)
+        edge = np.flatnonzero(np.diff(SPACE[self.bytes], prepend=True))  # words end before the last byte, a space
+        self.starts, self.ends = edge[::2], edge[1::2]
+        if stops:
+            kind = KINDS[self.bytes]
+            cut = np.flatnonzero((kind[1:] == 2) & (kind[:-1] == 1)) + 1
+            self.starts, self.ends = np.sort(np.r_[self.starts, cut]), np.sort(np.r_[self.ends, cut])
+        self.places = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
+        self.counts = np.diff(np.searchsorted(self.starts, self.places))
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hashes: sums of byte numbers times powers of BASE, mixed with the length."""
+        out, w = np.empty(len(self.starts), np.uint64), 0
+        inverse = pow(BASE, -1, 2**64)
+        while w < len(out):
+            at = int(self.starts[w])
+            end = max(w + 1, int(np.searchsorted(self.ends, at + PIECE, "right")))
+            s, e = self.starts[w:end] - at, self.ends[w:end] - at
+            n = int(e[-1])
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum(BYTES[self.bytes[at : at + n]] * power(BASE, n), out=total[1:])
+            out[w:end] = (total[e] - total[s]) * power(inverse, n)[s] + (e - s).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
+            w = end
+        return mix(out)
+
+    def slices(self, first, last) -> list[bytes]:
+        """The stretches from word first[k] up to word last[k], as they stand."""
+        data = self.data
+        return [data[a:b] for a, b in zip(self.starts[first].tolist(), self.ends[last].tolist(), strict=True)]
+
+
+class Memo:
+    """Ids of words, remembered by the word's hash. learn() gives those of new words: all ids one after another, and how many each word has."""
+
+    def __init__(self, learn, limit: int = 1_500_000, slots: int = 21):
+        self.learn, self.limit, self.bits = learn, limit, slots
+        self.forget()
+
+    def forget(self) -> None:
+        """Known words by rising hash, with the place and number of their ids; and a table in which most of them are found at once by the first bits of the hash."""
+        self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.first, self.length = np.zeros(self.limit, np.int32), np.zeros(self.limit, np.int32)
+        self.ids, self.used, self.count = np.zeros(1 << 20, np.uint32), 0, 0
+        self.slots, self.where = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
+
+    def slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def add(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Words not known yet, by rising hash."""
+        ids, length = self.learn(words)
+        number = np.arange(self.count, self.count + len(words), dtype=np.int32)
+        self.first[number], self.length[number] = np.cumsum(length) - length + self.used, length
+        self.count += len(words)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.number = np.insert(self.hashes, at, hashes), np.insert(self.number, at, number)
+        slot = self.slot(hashes)
+        free = self.where[slot] < 0  # words met early, the frequent ones, keep their slots
+        self.slots[slot[free]], self.where[slot[free]] = hashes[free], number[free]
+        taken = slot[free & (self.slots[slot] != hashes)]
+        if len(taken):  # two new words in one slot: the last one written has it, with its own number
+            self.where[taken] = self.number[np.searchsorted(self.hashes, self.slots[taken])]
+
+    def look_up(self, hashes: np.ndarray, words) -> np.ndarray | None:
+        """Numbers of the words; words(places) gives those at some places. None if they are more than can be remembered."""
+        slot = self.slot(hashes)
+        number = np.where(self.slots[slot] == hashes, self.where[slot], -1)
+        rest = np.flatnonzero(number < 0)
+        if len(rest):
+            distinct, one, back = np.unique(hashes[rest], return_index=True, return_inverse=True)
+            at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
+            new = self.hashes[at] != distinct if len(self.hashes) else np.ones(len(distinct), bool)
+            if self.count + new.sum() > self.limit:
+                if not self.count:
+                    return None
+                self.forget()  # start again with an empty memory
+                return self.look_up(hashes, words)
+            if new.any():
+                self.add(distinct[new], words(rest[one[new]]))
+                at = np.searchsorted(self.hashes, distinct)
+            number[rest] = self.number[at][back]
+        return number
+
+    def gather(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and where each word's ids start (with the end of the last)."""
+        length = self.length[number].astype(np.int64)
+        total = np.r_[0, np.cumsum(length)]
+        return self.ids[np.repeat(self.first[number] - total[:-1], length) + np.arange(total[-1])], total

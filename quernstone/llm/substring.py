@@ -1,47 +1,28 @@
 """Repeated passages removed: every window of `window` words that starts in a document with a smaller doc_id.
 
-Super-k-mer partitioning. A window's minimiser is the least hash among its runs of MINIMISER words; consecutive windows with one
-minimiser travel as one packed string of words to the minimiser's bucket, so equal windows always meet. Before that, equal strings
-within a group of documents (a task's share) are reduced to those of the smallest doc_id: for the others the group already knows that their windows go. A passage shared by
-any number of documents thus reaches its bucket once a group. In a bucket, windows are sorted (by a hash of their words, equal hashes checked word by word)
-and each set of equal windows is left to its smallest doc_id. Word ranges to remove are gathered by document.
+Super-k-mer partitioning. A window's minimiser is the least hash among its runs of MINIMISER words; equal windows have equal minimisers. Documents are dealt into groups of about GROUP bytes by a hash.
+1. Windows that stand twice in a group are settled there. Each group sends the hashes of its minimisers, once each, to their shards, and learns which of them other groups have too.
+2. Consecutive windows that share such a minimiser travel as one packed string of words to the minimiser's bucket: the group's smallest doc_id alone sends a window that several of its documents have, so a passage shared by any number of documents comes once a group.
+3. In a bucket, windows are sorted (by a 64-bit hash of their words, and told apart by a second, independent one), and each set of equal windows is left to its smallest doc_id. The word ranges that go return to their group.
 
 Nulls and ties: a null text has no words. A null doc_id counts as larger than any other. Rows with one doc_id never remove each other's words; repeated rows get the same result each.
-Texts shorter than a window lose nothing. Columns besides doc_id and text are kept by `deduplicate` and not read by `removals`.
+Texts shorter than a window lose nothing. Columns besides doc_id and text are kept by `deduplicate` and not read by `digest`.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NULL_ID, parts, total_bytes, utf8
-
-WINDOW, MINIMISER = 13, 4
-#: Bytes of text in a group, words whose hashes a worker remembers, bytes of packed strings in a bucket (about).
-GROUP, CACHE, BUCKET = 8 << 20, 300_000, 4 << 20
-
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-class Hashes(dict):
-    def __missing__(self, word):
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def mix(a: np.ndarray) -> np.ndarray:
-    a = (a ^ (a >> np.uint64(31))) * MIX
-    return a ^ (a >> np.uint64(29))
+from .common import BASE, NULL_ID, SPACE, Words, bounded_batches, parts, rolled, total_bytes, utf8
 
+WINDOW, MINIMISER, GROUP = 13, 8, 8 << 20
 
 def sliding_min(a: np.ndarray, size: int) -> np.ndarray:
     out, span = a, 1
@@ -50,208 +31,240 @@ def sliding_min(a: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(out[: len(out) - (size - span)], out[size - span :]) if size > span else out
 
 
-def super_kmers(words: list[bytes], hashes: np.ndarray, window: int, size: int):
-    """(minimiser, first word, windows) of each run of consecutive windows with one minimiser."""
-    runs = hashes[: len(hashes) - size + 1].copy()
-    for k in range(1, size):
-        runs = mix(runs * np.uint64(3) + hashes[k : len(hashes) - size + 1 + k])
-    least = sliding_min(mix(runs), window - size + 1)
-    starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    return least[starts], starts, np.diff(np.r_[starts, len(least)])
-
-
-def packed(rows, window: int, size: int, buckets: int):
-    """Documents (id, row hash, text) of a group as blobs by bucket: {bucket: bytes}, and what the group already knows: [(id, row, first word, words)]."""
-    seen: dict[bytes, list] = {}
-    hashes, known = Hashes(), []
-    for doc, row, text in sorted(rows, key=lambda r: r[:2]):
-        words = text.split() if text else []
-        n = len(words)
-        if n < window:
-            continue
-        if len(hashes) > CACHE:
-            hashes.clear()
-        mins, starts, runs = super_kmers(words, np.fromiter(map(hashes.__getitem__, words), np.uint64, n), window, size)
-        joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
-        begin = np.r_[0, ends[:-1]]
-        for m, s, k, a, b in zip(mins.tolist(), starts.tolist(), runs.tolist(), begin[starts].tolist(), (ends[starts + runs + window - 2] - 1).tolist(), strict=True):
-            text_ = joined[a:b]
-            if (x := seen.get(text_)) is None:
-                seen[text_] = [m, k, doc, [(row, s)]]
-            elif x[2] == doc:
-                x[3].append((row, s))
-            else:  # documents come by id, so the first has the smaller one
-                known.append((doc, row, s, k + window - 1))
-    by = defaultdict(list)
-    for text_, (m, k, doc, at) in seen.items():
-        by[(m >> 20) % buckets].append((text_, k, doc, at))
-    blobs = {}
-    for bucket, items in by.items():
-        counts = np.array([(k, doc, len(at)) for _, k, doc, at in items], np.int64)
-        at = np.array([x for *_, a in items for x in a], np.int64)
-        body = b"\n".join(t for t, *_ in items)
-        head = np.array([len(items), len(at)], np.int64).tobytes()
-        blobs[bucket] = zstandard.compress(head + np.ascontiguousarray(counts.T).tobytes() + np.ascontiguousarray(at.T).tobytes() + body, 3)
-    return blobs, known
-
-
-def unpacked(blob: bytes):
-    data = zstandard.decompress(blob)
-    n, m = np.frombuffer(data, np.int64, 2).tolist()
-    counts = np.frombuffer(data, np.int64, 3 * n, 16).reshape(3, n)
-    at = np.frombuffer(data, np.int64, 2 * m, 16 + 24 * n).reshape(2, m)
-    return counts, at, data[16 + 24 * n + 16 * m :].split(b"\n")
-
-
-def repeated(blobs: list[bytes], window: int) -> list[tuple[int, int, int, int]]:
-    """(id, row, first word, words) of windows in a bucket whose words also start in a smaller id."""
-    names: dict[bytes, int] = {}
-    ids, length, runs, docs, rows, starts = [], [], [], [], [], []
+def classes(tokens: np.ndarray, begin: np.ndarray, owner: np.ndarray, window: int) -> np.ndarray:
+    """For each window (from tokens[begin]), the smallest owner among the windows with the same tokens. Windows are sorted by one hash and told apart by a second, independent one."""
+    hashes = rolled(tokens, window)[begin]
+    order = np.argsort(hashes)
+    h, o = hashes[order], owner[order]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    check = rolled(tokens, window, BASE + 2)[begin[order]]
+    if np.any(~new[1:] & (check[1:] != check[:-1])):
+        again = np.lexsort((check, h))
+        order, h, o, check = order[again], h[again], o[again], check[again]
+        new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
+    out = np.empty(len(order), owner.dtype)
+    if len(order):
+        first = np.flatnonzero(new)
+        out[order] = np.repeat(np.minimum.reduceat(o, first), np.diff(np.r_[first, len(o)]))
+    return out
+
+
+class Group:
+    """The words of a group's documents, one after another, by rising id."""
+
+    def __init__(self, table: pa.Table, window: int = WINDOW, size: int = MINIMISER):
+        texts, ids = utf8(table.column("text").combine_chunks()), table.column("_id").to_pylist()
+        self.order = sorted(range(len(ids)), key=lambda k: (ids[k], texts[k] or b""))
+        self.words = Words([texts[k] for k in self.order])
+        self.sizes = self.words.counts
+        self.ids = np.repeat(np.array([ids[k] for k in self.order], np.int64), self.sizes)
+        self.window, self.size = window, size
+
+    def windows(self) -> None:
+        """Where windows begin (in one document only), and their minimisers."""
+        self.hashes = self.words.hashes()
+        first = np.cumsum(self.sizes) - self.sizes
+        left = np.repeat(first + self.sizes, self.sizes) - np.arange(len(self.hashes))
+        self.begin = np.flatnonzero(left >= self.window)
+        runs = rolled(self.hashes, self.size)
+        least = sliding_min(runs, self.window - self.size + 1) if len(runs) >= self.window - self.size + 1 else runs[:0]
+        self.minimiser = least[self.begin]
+
+    def settle(self) -> np.ndarray:
+        """Which windows stand in a smaller id of this group."""
+        gone = np.zeros(len(self.begin), bool)
+        hashes = rolled(self.hashes, self.window)[self.begin]
+        ordered = np.sort(hashes)
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        # few windows stand twice: the others are seen in a small table of the hashes' first bits
+        table = np.zeros(1 << 20, bool)
+        table[(twice >> np.uint64(44)).astype(np.int64)] = True
+        some = np.flatnonzero(table[(hashes >> np.uint64(44)).astype(np.int64)])
+        owner = self.ids[self.begin[some]]
+        gone[some] = classes(self.hashes, self.begin[some], owner, self.window) != owner
+        return gone
+
+    def by_shard(self, shards: int):
+        """Distinct minimisers of each shard."""
+        m = self.minimiser
+        distinct = np.sort(m[np.r_[True, m[1:] != m[:-1]]]) if len(m) else m
+        distinct = distinct[np.r_[True, distinct[1:] != distinct[:-1]]] if len(m) else m
+        shard = (distinct >> np.uint64(20)) % np.uint64(shards)
+        order = np.argsort(shard, kind="stable")
+        cut = np.searchsorted(shard[order], np.arange(shards + 1).astype(np.uint64))
+        return [(s, distinct[order[cut[s] : cut[s + 1]]]) for s in range(shards) if cut[s] < cut[s + 1]]
+
+    def super_kmers(self, alive: np.ndarray, shards: int):
+        """(bucket, blob) of runs of living windows that share a minimiser: first word, windows and id of each, and their words."""
+        at, m = self.begin[alive], self.minimiser[alive]
+        if not len(at):
+            return
+        start = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (m[1:] != m[:-1])])
+        number = np.diff(np.r_[start, len(at)])
+        first, bucket = at[start], ((m[start] >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(shards + 1))
+        for s in range(shards):
+            own = order[cut[s] : cut[s + 1]]
+            if len(own):
+                body = b" ".join(self.words.slices(first[own], first[own] + number[own] + self.window - 2))
+                yield s, zstandard.compress(np.concatenate([[len(own)], first[own], number[own], self.ids[first[own]]]).astype(np.int64).tobytes() + body, 3)
+
+
+def spans(begin: np.ndarray, window: int) -> np.ndarray:
+    """Rising places of windows as rows (first word, words)."""
+    if not len(begin):
+        return np.zeros((0, 2), np.int64)
+    start = np.flatnonzero(np.r_[True, np.diff(begin) != 1])
+    return np.column_stack([begin[start], np.diff(np.r_[start, len(begin)]) + window - 1])
+
+
+def repeated(blobs: list[bytes], window: int) -> list[np.ndarray]:
+    """For each group's blob of a bucket, the spans of windows whose words also start in a smaller id."""
+    bodies, first, number, ids, sizes = [], [], [], [], []
     for blob in blobs:
-        (k, doc, number), at, strings = unpacked(blob)
-        for s in strings:
-            words = s.split(b" ")
-            length.append(len(words))
-            ids += [names.setdefault(w, len(names)) for w in words]
-        runs.append(k)
-        docs.append(doc)
-        rows += np.split(at[0], np.cumsum(number)[:-1])
-        starts += np.split(at[1], np.cumsum(number)[:-1])
-    ids, runs, docs = np.array(ids, np.uint64), np.concatenate(runs), np.concatenate(docs)
-    first = np.cumsum([0, *length[:-1]])
-    which = np.repeat(np.arange(len(runs)), runs)
-    nth = np.arange(len(which)) - np.repeat(np.cumsum(runs) - runs, runs)
-    begin = first[which] + nth
-    h = np.zeros(len(begin), np.uint64)
-    for k in range(window):
-        h = mix(h * np.uint64(5) + ids[begin + k] + np.uint64(1))
-    order = np.lexsort((docs[which], h))
-    h, begin, owner = h[order], begin[order], docs[which][order]
-    new = np.r_[True, h[1:] != h[:-1]]
-    if len(begin) > 1 and (same := np.flatnonzero(~new)).size:
-        unlike = np.zeros(len(same), bool)
-        for k in range(window):
-            unlike |= ids[begin[same] + k] != ids[begin[same - 1] + k]
-        if unlike.any():  # different windows with one hash: told apart by their words
-            keys: dict[tuple, int] = {}
-            label = np.array([keys.setdefault(tuple(ids[b : b + window].tolist()), len(keys)) for b in begin.tolist()])
-            again = np.lexsort((owner, label))
-            order, owner, label = order[again], owner[again], label[again]
-            new = np.r_[True, label[1:] != label[:-1]]
-    gone = order[owner != owner[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]]
-    gone.sort()
-    out = []
-    if len(gone):
-        cut = np.flatnonzero(np.r_[True, (which[gone][1:] != which[gone][:-1]) | (np.diff(gone) != 1)])
-        for g, n in zip(gone[cut].tolist(), np.diff(np.r_[cut, len(gone)]).tolist(), strict=True):
-            w = int(which[g])
-            out += [(int(docs[w]), r, s + int(nth[g]), n + window - 1) for r, s in zip(rows[w].tolist(), starts[w].tolist(), strict=True)]
+        data = zstandard.decompress(blob)
+        (n,) = np.frombuffer(data, np.int64, 1).tolist()
+        head = np.frombuffer(data, np.int64, 3 * n, 8).reshape(3, n)
+        bodies.append(data[8 + 24 * n :])
+        for a, x in zip((first, number, ids), head, strict=True):
+            a.append(x)
+        sizes.append(int(head[1].sum()))
+    tokens, number = Words(bodies).hashes(), np.concatenate(number)
+    length = number + window - 1
+    which = np.repeat(np.arange(len(number)), number)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(number) - number, number)
+    begin = (np.cumsum(length) - length)[which] + nth
+    owner = np.concatenate(ids)[which]
+    small = classes(tokens, begin, owner, window)
+    place = np.concatenate(first)[which] + nth
+    out, at = [], 0
+    for n in sizes:
+        out.append(spans(place[at : at + n][(small != owner)[at : at + n]], window))
+        at += n
     return out
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("_row", F.xxhash64(F.col("text").cast("string")))
-
-
-def removals(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) -> DataFrame:
-    """_id, _row, ranges: first word and number of words of every range to remove, packed as 64-bit pairs."""
-    spark = docs.sparkSession
-    nbytes = total_bytes(docs) * 3
-    n = parts(spark, nbytes, 16 << 20)
-    buckets = n * max(1, round(nbytes / n / BUCKET))
-
-    def split(batches):
-        held, weight = [], 0
-
-        def flush():
-            blobs, known = packed(held, window, size, buckets)
-            keys, values = list(blobs), list(blobs.values())
-            for i in range(0, len(keys), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 64], pa.int32()), pa.array(values[i : i + 64], pa.binary())], ["bucket", "blob"])
-            if known:
-                yield pa.RecordBatch.from_arrays([pa.array([-1 - abs(hash(known[0])) % buckets], pa.int32()), pa.array([zstandard.compress(np.array(known, np.int64).tobytes())], pa.binary())], ["bucket", "blob"])
-
-        for b in batches:
-            for r in zip(b.column("_id").to_pylist(), b.column("_row").to_pylist(), utf8(b.column("text")), strict=True):
-                held.append(r)
-                weight += len(r[2] or b"")
-                if weight >= GROUP:
-                    yield from flush()
-                    held, weight = [], 0
-        yield from flush()
-
-    def settle(batches):
-        last, held = None, []
-
-        def flush():
-            got: dict[tuple[int, int], list] = defaultdict(list)
-            found = repeated(held, window) if last >= 0 else [tuple(x) for b in held for x in np.frombuffer(zstandard.decompress(b), np.int64).reshape(-1, 4).tolist()]
-            for doc, row, s, k in found:
-                got[doc, row] += (s, k)
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in got], pa.int64()), pa.array([k[1] for k in got], pa.int64()), pa.array([np.array(x, np.int64).tobytes() for x in got.values()], pa.binary())], ["_id", "_row", "ranges"])
-
-        for b in batches:
-            for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("blob").to_pylist(), strict=True):
-                if bucket != last and held:
-                    yield from flush()
-                    held = []
-                last = bucket
-                held.append(blob)
-        if held:
-            yield from flush()
-
-    rows = keyed(docs).select("_id", "_row", F.col("text").cast("string").alias("text"))
-    blobs = rows.mapInArrow(split, "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
-    ranges = blobs.mapInArrow(settle, "_id long, _row long, ranges binary")
-    return ranges.groupBy("_id", "_row").agg(F.collect_list("ranges").alias("ranges"))
-
-
-def kept_words(text: bytes | None, ranges: list[bytes] | None) -> tuple[int, list[bytes]]:
-    words = text.split() if text else []
-    if not ranges:
-        return len(words), words
-    gone = np.zeros(len(words) + 1, np.int64)
-    at = np.frombuffer(b"".join(ranges), np.int64).reshape(-1, 2)
-    np.add.at(gone, at[:, 0], 1)
-    np.add.at(gone, at.sum(axis=1), -1)
-    return len(words), [words[i] for i in np.flatnonzero(np.cumsum(gone)[:-1] == 0).tolist()]
-
-
-def with_ranges(docs: DataFrame, window: int, size: int) -> DataFrame:
-    rows = docs.drop("_id", "_row", "ranges")
-    return keyed(rows).join(removals(rows, window, size), ["_id", "_row"], "left")
+def in_runs(batches, column: str, settle):
+    """settle(value, rows) for each run of rows with one value in a column they are sorted by; rows are (g, blob)."""
+    last, held = None, []
+    for b in batches:
+        for s, *row in zip(*(b.column(k).to_pylist() for k in (column, "g", "blob")), strict=True):
+            if s != last and held:
+                yield from settle(last, held)
+                held = []
+            last = s
+            held.append(row)
+    if held:
+        yield from settle(last, held)
+
+
+def swept(docs: DataFrame, finish, schema, window: int = WINDOW, size: int = MINIMISER) -> DataFrame:
+    """finish(table, group, gone) for each group: gone tells for each word whether it goes."""
+    bounded_batches(docs.sparkSession)
+    n = parts(docs.sparkSession, total_bytes(docs), GROUP)
+    text = F.col("text").cast("string")
+    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("g", F.pmod(F.xxhash64("doc_id", text), F.lit(n)).cast("int"))
+    sent = "shard int, g int, blob binary"
+
+    def table(items):
+        items = list(items)
+        return pa.table({"shard": pa.array([x[0] for x in items], pa.int32()), "g": pa.array([x[1] for x in items], pa.int32()), "blob": pa.array([x[2] for x in items], pa.binary())})
+
+    def ask(key, docs_):
+        group = Group(docs_, window, size)
+        group.windows()
+        return table((s, key[0].as_py(), m.tobytes()) for s, m in group.by_shard(n))
+
+    def shared(batches):
+        def settle(shard, asked):
+            all_ = [np.frombuffer(x, np.uint64) for _, x in asked]
+            ordered = np.sort(np.concatenate(all_))
+            both = ordered[1:][ordered[1:] == ordered[:-1]]
+            for (g, _), a in zip(asked, all_, strict=True):
+                at = np.minimum(np.searchsorted(both, a), max(0, len(both) - 1))
+                own = a[both[at] == a] if len(both) else a[:0]
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([g], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["shard", "g", "blob"])
+
+        return in_runs(batches, "shard", settle)
+
+    def send(key, docs_, answers):
+        group, g = Group(docs_, window, size), key[0].as_py()
+        group.windows()
+        settled = group.settle()
+        known = np.sort(np.frombuffer(b"".join(answers.column("blob").to_pylist()), np.uint64))
+        at = np.minimum(np.searchsorted(known, group.minimiser), max(0, len(known) - 1))
+        alive = ~settled & (known[at] == group.minimiser) if len(known) else np.zeros(len(settled), bool)
+        # what the group settled itself goes along, dealt over the buckets as numbers below 0
+        own = spans(group.begin[settled], window)
+        return table([*((s, g, b) for s, b in group.super_kmers(alive, n)), *([(-1 - g % n, g, own.tobytes())] if len(own) else [])])
+
+    def settle_buckets(batches):
+        def settle(bucket, got):
+            found = repeated([b for _, b in got], window) if bucket >= 0 else [np.frombuffer(b, np.int64) for _, b in got]
+            for (g, _), x in zip(got, found, strict=True):
+                if x.size:
+                    yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([np.ascontiguousarray(x).tobytes()], pa.binary())], ["g", "blob"])
+
+        return in_runs(batches, "shard", settle)
+
+    def remove(key, docs_, ranges):
+        group = Group(docs_, window, size)
+        gone = np.zeros(int(group.sizes.sum()) + 1, np.int64)
+        at = np.frombuffer(b"".join(ranges.column("blob").to_pylist()), np.int64).reshape(-1, 2)
+        np.add.at(gone, at[:, 0], 1)
+        np.add.at(gone, at.sum(axis=1), -1)
+        return finish(docs_, group, np.cumsum(gone)[:-1] > 0)
+
+    rows = rows.select(*docs.columns, "_id", "g")
+    slim = rows if set(docs.columns) == {"doc_id", "text"} else rows.select("doc_id", "text", "_id", "g")
+    asked = slim.groupBy("g").applyInArrow(ask, sent)
+    answers = asked.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(shared, sent)
+    strings = slim.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(send, sent)
+    ranges = strings.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(settle_buckets, "g int, blob binary")
+    return rows.groupBy("g").cogroup(ranges.groupBy("g")).applyInArrow(remove, schema)
+
+
+def kept(group: Group, gone: np.ndarray):
+    """(row of the table, words, words kept, kept words joined by one space) of each document."""
+    words, stay = group.words, ~gone
+    place = np.zeros(len(words.bytes) + 1, np.int8)
+    place[words.starts[stay]] = 1
+    place[words.ends[stay] + 1] -= 1  # with the byte after the word, for the space
+    inside = np.cumsum(place, dtype=np.int8)[:-1] > 0
+    text = words.bytes[inside]
+    text[SPACE[text]] = 32
+    text = text.tobytes()
+    cut = np.r_[0, np.cumsum(np.add.reduceat(inside, words.places[:-1], dtype=np.int64))].tolist() if len(words.places) > 1 else [0]
+    number = np.diff(np.r_[0, np.cumsum(stay)][np.r_[0, np.cumsum(group.sizes)]]).tolist()
+    for k, (row, n) in enumerate(zip(group.order, group.sizes.tolist(), strict=True)):
+        yield row, n, number[k], text[cut[k] : max(cut[k], cut[k + 1] - 1)]
 
 
 def digest(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for every row."""
 
-    def run(batches):
-        for b in batches:
-            out = []
-            for t, r in zip(utf8(b.column("text")), b.column("ranges").to_pylist(), strict=True):
-                n, kept = kept_words(t, r)
-                out.append((n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.string())))], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    def finish(table, group, gone):
+        ids, out = table.column("doc_id").to_pylist(), [(row, n, k, hashlib.sha256(text).hexdigest()) for row, n, k, text in kept(group, gone)]
+        return pa.table({"doc_id": pa.array([ids[x[0]] for x in out], pa.int64()), "n_words": pa.array([x[1] for x in out], pa.int64()), "n_removed": pa.array([x[1] - x[2] for x in out], pa.int64()), "kept_sha256": pa.array([x[3] for x in out], pa.string())})
 
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return with_ranges(docs, window, size).select("doc_id", "text", "ranges").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return swept(docs, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string", window, size)
 
 
 def deduplicate(docs: DataFrame, window: int = WINDOW, size: int = MINIMISER) -> DataFrame:
     """docs with repeated passages cut out of text (kept words joined by one space where any was removed; other texts stay as they are) and n_chars, if there, brought up to date."""
-    names = [c for c in docs.columns if c not in ("_id", "_row", "ranges")]
-    at = names.index("text")
+    names = [c for c in docs.columns if c not in ("_id", "g")]
 
-    def run(batches):
-        for b in batches:
-            out = []
-            for t, r in zip(utf8(b.column("text")), b.column("ranges").to_pylist(), strict=True):
-                out.append(b" ".join(kept_words(t, r)[1]) if r else t)
-            texts = pa.array(out, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([texts if k == at else b.column(k) for k in range(len(names))], names)
+    def finish(table, group, gone):
+        texts = table.column("text").to_pylist()
+        for row, n, k, text in kept(group, gone):
+            if k < n:
+                texts[row] = text.decode()
+        return table.select(names).set_column(names.index("text"), "text", pa.array(texts, pa.string()))
 
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.select(*names).schema])
-    out = with_ranges(docs.select(*names), window, size).select(*names, "ranges").mapInArrow(run, schema)
+    out = swept(docs.select(*names), finish, schema, window, size)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

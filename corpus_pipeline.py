@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.llm import language_id, packing, simhash, substring
-from quernstone.llm.common import materialize, table
+from quernstone.llm.common import NULL_ID, materialize, table
 from quernstone.llm.queries import tokenizer
 
 
@@ -19,12 +19,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the least id stays (of several rows with that id and group, one)."""
+    """Of each group of linked fingerprints the document with the least id stays (of repeated rows, one)."""
     groups = simhash.near_duplicates(docs)
-    # a group whose ids are all null keeps one row: its component_id is null as well
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.alias("d").join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    # a group whose ids are all null keeps its rows without an id that differ
+    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("row").alias("_row")).distinct()
+    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("_row", F.xxhash64(F.col("text").cast("string")))
+    return rows.join(keep, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, parts, total_bytes
+from .common import bounded_batches, materialize, parts, total_bytes
 
 BUCKETS = 256
 #: Bytes hashed at once.
@@ -89,6 +89,7 @@ def batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def compare(docs: DataFrame) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     n = parts(spark, total_bytes(docs), 32 << 20)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import training
+from .common import bounded_batches, training
 
 ORDER = 4
 #: The bound of the training sample.
@@ -162,6 +162,7 @@ def sample(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_language: i
 
 def identify(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE, max_bytes: int = MAX_BYTES) -> DataFrame:
     """docs with held_out, lang_pred, score and bits_per_byte; columns of these names are replaced."""
+    bounded_batches(docs.sparkSession)
     docs = docs.drop("held_out", "lang_pred", "score", "bits_per_byte")
     model = docs.sparkSession.sparkContext.broadcast(Model(sample(docs, modulus, held_out, per_language, max_bytes)))
     names = docs.columns

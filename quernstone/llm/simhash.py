@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, utf8
+from .common import bounded_batches, materialize, utf8
 
 BITS = 64
 #: Distinct fingerprints compared with each other in one bucket; larger ones are dealt out again.
@@ -49,14 +49,15 @@ def simhash(text: bytes | None, words: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+    """doc_id, row (a hash of the text) and fp, the fingerprint as a signed long."""
 
     def run(batches):
         for b in batches:
             fps = [simhash(t, words, seed) for t in utf8(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("row"), text.alias("text")).mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def cover(free: list[int], radius: int) -> list[int]:
@@ -187,7 +188,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (the least doc_id reachable by links)."""
+    """doc_id, fingerprint (16 hex digits), component_id (the least doc_id reachable by links), row (a hash of the text, that tells rows of one id apart)."""
+    bounded_batches(docs.sparkSession)
     each = materialize(fingerprints(docs, words, seed))
     classes = materialize(each.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = materialize(components(links(classes.select("fp"), radius, bucket)))
@@ -196,4 +198,4 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, radius: int
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     moved = linked.join(named, "root").select("fp", "component_id")
     ids = classes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return each.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return each.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "row")

@@ -14,7 +14,7 @@ from quernstone.llm.queries import tokenizer
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language stay: `und` and texts that no learned language codes below 6 bits a byte go."""
+    """Documents that have a language stay: `und` and texts that no learned language codes in fewer bits than their bytes have go."""
     return language_id.accepted(docs)
 
 

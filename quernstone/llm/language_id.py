@@ -177,7 +177,7 @@ def identify(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_language:
     return docs.withColumn("held_out", ~training("doc_id", modulus, held_out)).mapInArrow(run, ddl)
 
 
-def accepted(docs: DataFrame, max_bits_per_byte: float = 6.0) -> DataFrame:
+def accepted(docs: DataFrame, max_bits_per_byte: float = 8.0) -> DataFrame:
     """docs, whole rows, without texts that have no language: `und`, or coded worse than max_bits_per_byte by every
-    language learned (random bytes take about 8, texts of a learned language 2 to 4)."""
+    language learned. At 8 bits a byte a model says no more than raw bytes do: such texts are in no language learned (texts of one take 2 to 4, short ones with keys and numbers in them up to 7)."""
     return identify(docs).filter((F.col("lang_pred") != "und") & (F.col("bits_per_byte") <= max_bits_per_byte)).select(*docs.columns)

@@ -54,7 +54,7 @@ def section_pool_counts(spark, d):
     return retrieve.by_field(A.chunks(spark, d), A.FIELDS, lambda f: [retrieve.pool(section, f.include, f.exclude).alias("pool")], "pool").groupBy("field", "pool").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT paper_id, field, chunk_id, score, rank FROM ({RANKED}) WHERE rank < 20", A.CHUNKS, A.POOLED)
+@query(f"SELECT paper_id, field, chunk_id, CAST(score AS DOUBLE) AS score, rank FROM ({RANKED}) WHERE rank < 20", A.CHUNKS, A.POOLED)
 def regex_rank(spark, d):
     return retrieve.regex_rank(pooled(spark, d), A.FIELDS).select("paper_id", "field", "chunk_id", "score", F.col("rank").cast("long").alias("rank"))
 
@@ -203,7 +203,7 @@ norms AS (SELECT value, record_id, paper_id, _pos, chunk, record_type, endpoint,
   CASE WHEN operator = 'plus_minus' THEN 2.0 * factor END AS err, unit FROM parsed)"""
 
 
-@query("SELECT record_id, operator, round(v, 6) AS v, round(lo, 6) AS lo, round(hi, 6) AS hi, round(err, 6) AS err, unit FROM norms WHERE operator IS NOT NULL", A.RECORDS, NUMBERS)
+@query("SELECT record_id, operator, round(v, 6) AS v, round(lo, 6) AS lo, round(hi, 6) AS hi, round(CAST(err AS DOUBLE), 6) AS err, unit FROM norms WHERE operator IS NOT NULL", A.RECORDS, NUMBERS)
 def numeric_parse(spark, d):
     rows = A.records(spark, d).select("record_id", parse("value", F.when(F.col("_pos").isin(2, 3), "MPa").otherwise(F.lit(None).cast("string"))).alias("n")).filter("n is not null")
     six = lambda c: F.round(c, 6)

@@ -23,48 +23,91 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, union_all, utf8
+from .common import Memo, Words, bounded_batches, materialize, union_all, utf8
 
 WINDOW, END_ID = 4096, 2
+#: Pieces of cut documents that may be sent to all tasks.
+BROADCAST = 20_000
 #: Rows ranked by one task, about.
 RANKED = 100_000
 #: Words whose ids a worker remembers.
-CACHE = 1_000_000
+CACHE = 1_500_000
+SLOTS = 21
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit numbers. The vocabulary's rules never look across white space
-    (words are taken apart there before any merge), so ids are found word by word and remembered."""
+    """Ids of whole texts as unsigned 32-bit numbers. The vocabulary's rules never look across white space
+    (words are taken apart there before any merge), nor do they join an ASCII letter with a stop after it, so ids are found word by word and remembered by the word's hash."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = CACHE, slots: int = SLOTS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        # a word of one id that stands between others when many are encoded at once
-        self.mark, (self.mark_id,) = b"~", self.tokenizer.encode("~", add_special_tokens=False).ids
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = list({w for words in split for w in words}.difference(known))
-        plain = [w for w in new if self.mark not in w and b"<|" not in w]
-        texts = [f" {self.mark.decode()} ".join(w.decode("utf-8", "replace") for w in plain[i : i + 1000]) for i in range(0, len(plain), 1000)]
-        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            whole = np.array(e.ids, "<u4")
-            ends = np.r_[np.flatnonzero(whole == self.mark_id), len(whole)].tolist()
-            data, at = whole.tobytes(), 0
-            for w, end in zip(plain[k * 1000 : k * 1000 + 1000], ends, strict=True):
-                known[w], at = data[at * 4 : end * 4], end + 1
-        if len(plain) < len(new):
-            odd = [w for w in new if self.mark in w or b"<|" in w]
-            for w, e in zip(odd, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        # a word of one id that stands between others when many are encoded at once
+        self.mark, (self.mark_id,) = b"~", self.tokenizer.encode("~", add_special_tokens=False).ids
+        self.memo = Memo(self.learn, limit, slots)
+
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        odd = {k for k, w in enumerate(words) if self.mark in w or b"<|" in w}
+        plain = [w for k, w in enumerate(words) if k not in odd] if odd else words
+        ids, length = [], []
+        texts = [(b" " + self.mark + b" ").join(plain[i : i + 1000]).decode("utf-8", "replace") for i in range(0, len(plain), 1000)]
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            got = np.array(e.ids, np.uint32)
+            ends = np.r_[np.flatnonzero(got == self.mark_id), len(got)]
+            length.append(np.diff(ends, prepend=-1) - 1)
+            ids.append(got[got != self.mark_id])
+        ids, length = np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate([*length, np.zeros(0, np.int64)])
+        if odd:  # put among the others, each at its place
+            at = sorted(odd)
+            each = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([words[k].decode("utf-8", "replace") for k in at], add_special_tokens=False)]
+            place = np.array(at) - np.arange(len(at))
+            start = np.r_[0, np.cumsum(length)][place]
+            ids = np.insert(ids, np.repeat(start, [len(x) for x in each]), np.concatenate(each))
+            length = np.insert(length, place, [len(x) for x in each])
+        return ids, length
+
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        # the special words are told apart before letters are lowered
+        words = Words([t and (t if b"<|" in t else t.lower()) for t in texts], stops=True)
+        number = self.memo.look_up(words.hashes(), lambda at: words.slices(at, at))
+        if number is None:
+            return [x for t in texts for x in self.encode_long(t)]
+        ids, total = self.memo.gather(number)
+        return np.split(ids, total[np.cumsum(words.counts)][:-1]) if len(texts) else []
+
+    def encode_long(self, text: bytes | None) -> list[np.ndarray]:
+        """One text of more distinct words than are remembered, a stretch at a time."""
+        words, out, some = Words([text], stops=True), [], self.memo.limit // 2
+        if len(words.starts) <= some:
+            return self.encode([text])
+        for w in range(0, len(words.starts), some):
+            out += self.encode([words.data[words.starts[w] : words.ends[min(w + some, len(words.ends)) - 1]]])
+        return [np.concatenate(out)]
+
+
+#: One for each vocabulary in a worker, kept from task to task.
+encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
+
+
+def pieces(texts: list[bytes | None], size: int = 8 << 20):
+    """Texts a few at a time."""
+    at = 0
+    while at < len(texts):
+        end, weight = at, 0
+        while end < len(texts) and (end == at or weight < size):
+            weight += len(texts[end] or b"")
+            end += 1
+        yield texts[at:end]
+        at = end
 
 
 def encoded(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
@@ -72,17 +115,15 @@ def encoded(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for b in batches:
-            texts, ids = utf8(b.column("text")), []
-            for i in range(0, len(texts), 256):
-                ids += encoder.encode(texts[i : i + 256])
             out = []
-            for x in ids:
-                x += end
-                n = len(x) // 4
-                cut = n // window * window * 4
-                out.append((n, [zlib.crc32(x[k : k + window * 4]) for k in range(0, cut, window * 4)], n % window, zlib.crc32(x[cut:]), zlib.crc32(x)))
+            for texts in pieces(utf8(b.column("text"))):
+                for ids in encoder.encode(texts):
+                    x = ids.astype("<u4").tobytes() + end
+                    n = len(x) // 4
+                    cut = n // window * window * 4
+                    out.append((n, [zlib.crc32(x[k : k + window * 4]) for k in range(0, cut, window * 4)], n % window, zlib.crc32(x[cut:]), zlib.crc32(x)))
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds))], ["doc_id", "doc_tokens", "full", "rest", "rest_crc", "crc"])
 
@@ -200,6 +241,7 @@ def settle(windows, window: int):
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     each = materialize(encoded(docs, path, window, end_id))
     counts = {r.rest: r.n for r in each.filter("rest > 0").groupBy("rest").agg(F.count("*").alias("n")).collect()}  # at most window - 1 rows
@@ -269,14 +311,17 @@ def cut_crcs(docs: DataFrame, cut: DataFrame, path: str, end_id: int) -> DataFra
     end, names = end_id.to_bytes(4, "little"), ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     each = cut.groupBy("doc_id").agg(F.collect_list(F.struct("crc", "start", "length", "doc_tokens", "sequence_id", "offset")).alias("pieces"))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("t")
+    # few documents are cut as a rule: then their pieces go to the texts, and the texts stay where they are
+    if cut.count() <= BROADCAST:
+        each = F.broadcast(each)
     both = texts.join(each.alias("e"), F.col("t.doc_id").eqNullSafe(F.col("e.doc_id"))).select("t.doc_id", "t.text", "e.pieces").dropDuplicates(["doc_id", "text"])
 
     def run(batches):
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for b in batches:
             out = []
             for doc_id, ids, pieces in zip(b.column("doc_id").to_pylist(), encoder.encode(utf8(b.column("text"))), b.column("pieces").to_pylist(), strict=True):
-                ids += end
+                ids = ids.astype("<u4").tobytes() + end
                 crc = zlib.crc32(ids)
                 for p in pieces:
                     if p["crc"] == crc and p["doc_tokens"] * 4 == len(ids):

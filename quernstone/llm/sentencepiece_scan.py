@@ -20,15 +20,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Memo, Words, bounded_batches, enter, materialize, memories, utf8
 
 MARK = "▁"
 GIANT, CHUNK = 32_768, 8_192
-#: Words and pairs of pieces a worker remembers.
-WORDS, PAIRS = 400_000, 400_000
+#: Pairs of pieces a worker remembers.
+PAIRS = 1_000_000
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+class Segments(Words):
+    """The stretches that no merge leaves, of normalised texts with spaces for marks: each starts at a space after another character, or at its text's start."""
+
+    def __init__(self, texts: list[bytes]):
+        self.data = b"".join(texts)
+        self.bytes = np.frombuffer(self.data, np.uint8)
+        self.places = np.cumsum([0, *map(len, texts)])
+        space = self.bytes == 32
+        cut = space.copy()
+        cut[1:] &= ~space[:-1]
+        cut[self.places[:-1][self.places[:-1] < len(cut)]] = True
+        self.starts = np.flatnonzero(cut)
+        self.ends = np.r_[self.starts[1:], len(cut)][: len(self.starts)]
+        self.counts = np.diff(np.searchsorted(self.starts, self.places))
+
+
 class Model:
     def __init__(self, path: str):
         import sentencepiece
@@ -47,8 +63,11 @@ class Model:
         for p, i in self.ids.items():
             self.texts[i] = p.replace(MARK, " ").encode()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}
         self.own: dict[str, bool] = {}
+        self.memo, self.unlike = Memo(self.learn), 0
+        probe = " a  b\n\tç " + MARK
+        #: Normalising only puts a mark first and turns spaces into marks.
+        self.simple = self.apart and self.sp.normalize(probe) == MARK + probe.replace(" ", MARK)
 
     # pieces
 
@@ -122,17 +141,30 @@ class Model:
                 out.append(self.sp.unk_id())
         return np.array(out, "<u4").tobytes()
 
-    def word(self, w: str) -> bytes:
-        got = self.words.get(w)
-        if got is None:
-            if len(self.words) > WORDS:
-                self.words.clear()
-            got = self.words[w] = self.pack(self.trace(self.run(w, 0, None, len(w)), 0, len(w)))
-        return got
+    def segment(self, text: str) -> bytes:
+        """Ids of a stretch that no merge leaves."""
+        return self.pack(self.trace(self.run(text, 0, None, len(text)), 0, len(text)))
+
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = [self.segment(w.decode("utf-8", "replace").replace(" ", MARK)) for w in words]
+        self.unlike += sum(self.decode(x) != w for x, w in zip(got, words, strict=True))
+        return np.frombuffer(b"".join(got), "<u4"), np.array([len(x) // 4 for x in got], np.int64)
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of normalised texts (spaces for marks), as little-endian unsigned 32-bit numbers."""
+        words = Segments(texts)
+        number = self.memo.look_up(words.hashes(), lambda at: words.slices(at, at))
+        if number is None:  # more distinct stretches than are remembered
+            return [b"".join(self.segment(w) for w in WORD.findall(t.decode().replace(" ", MARK))) for t in texts]
+        ids, total = self.memo.gather(number)
+        data, ends = ids.astype("<u4").tobytes(), (total[np.r_[0, np.cumsum(words.counts)]] * 4).tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
     def encode(self, text: str) -> bytes:
-        """Ids of a normalised text as little-endian unsigned 32-bit numbers."""
-        return b"".join(map(self.word, WORD.findall(text) if self.apart else [text] if text else []))
+        """Ids of one normalised text."""
+        if self.apart:
+            return self.encode_all([text.replace(MARK, " ").encode()])[0]
+        return self.segment(text) if text else b""
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of ids, with the space that encoding puts first."""
@@ -214,20 +246,26 @@ def settled(matrices: list[dict], last: tuple) -> list[tuple]:
     return cuts
 
 
+def model_of(path: str) -> Model:
+    """One for each vocabulary in a worker, kept from task to task."""
+    enter("sentencepiece")
+    if path not in memories:
+        memories[path] = Model(path)
+    return memories[path]
+
+
 STATE = pa.list_(pa.struct([("s", pa.int32()), ("p", pa.string()), ("t", pa.int32()), ("q", pa.string())]))
 
 
 def encode(docs: DataFrame, path: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_chars, ids (little-endian unsigned 32-bit numbers), round_trip (decoding gives the text back) for every row."""
+    bounded_batches(docs.sparkSession)
     head = "doc_id long, n_chars long, ids binary, round_trip boolean"
     names = ["doc_id", "n_chars", "ids", "round_trip", "key", "k", "text", "low", "high"]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32()]
-    models: dict[str, Model] = {}
 
     def model() -> Model:
-        if path not in models:
-            models[path] = Model(path)
-        return models[path]
+        return model_of(path)
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
@@ -236,22 +274,33 @@ def encode(docs: DataFrame, path: str, giant: int = GIANT, chunk: int = CHUNK) -
         m = model()
         for b in batches:
             out, size = [], 0
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                text = text or ""
-                plain = m.sp.normalize(text) if text else ""
-                if len(plain) < giant:
-                    ids = m.encode(plain)
-                    out.append((doc_id, len(text), ids, m.decode(ids) == (b" " + text.encode() if text else b""), None, None, None, None, None))
-                    size += len(ids)
+            small: list[tuple] = []
+
+            def flush():
+                before = m.unlike
+                plain = [b" " + t.replace(MARK.encode(), b" ") if m.simple else m.sp.normalize(t.decode()).replace(MARK, " ").encode() for _, _, t in small]
+                got = m.encode_all(plain) if m.apart else [m.encode(x.decode().replace(" ", MARK)) for x in plain]
+                for (doc_id, n, t), ids in zip(small, got, strict=True):
+                    same = MARK.encode() not in t if m.simple and not before and not m.unlike else m.decode(ids) == (b" " + t if t else b"")
+                    out.append((doc_id, n, ids if t else b"", same or not t, None, None, None, None, None))
+                small.clear()
+
+            for doc_id, n, text in zip(b.column("doc_id").to_pylist(), b.column("n_chars").to_pylist(), utf8(b.column("text")), strict=True):
+                text = text or b""
+                if n + 1 < giant:
+                    small.append((doc_id, n, text))
                 else:
-                    key, round_ = uuid.uuid4().hex, plain.replace(MARK, " ") == " " + text
+                    plain = m.sp.normalize(text.decode())
+                    key, round_ = uuid.uuid4().hex, plain.replace(MARK, " ") == " " + text.decode()
                     for k, low in enumerate(range(0, len(plain), chunk)):
                         a = max(0, low - m.longest)
-                        out.append((doc_id, len(text), None, round_, key, k, plain[a : low + chunk + m.longest], low - a, min(len(plain), low + chunk) - a))
-                        size += chunk
+                        out.append((doc_id, n, None, round_, key, k, plain[a : low + chunk + m.longest], low - a, min(len(plain), low + chunk) - a))
+                size += len(text)
                 if size >= 8 << 20:
+                    flush()
                     yield batch(out)
                     out, size = [], 0
+            flush()
             yield batch(out)
 
     def transfer(batches):
@@ -271,7 +320,6 @@ def encode(docs: DataFrame, path: str, giant: int = GIANT, chunk: int = CHUNK) -
                 m.setdefault((c["s"], c["p"]), []).append((c["t"], c["q"]))
             matrices.append(m)
         # the text ends at its last cut
-        last = next(t for ends in matrices[-1].values() for t in ends if t[0] == 0)
         for last in dict.fromkeys(t for ends in matrices[-1].values() for t in ends if t[0] == 0):
             try:
                 cuts = settled(matrices, last)
@@ -294,7 +342,8 @@ def encode(docs: DataFrame, path: str, giant: int = GIANT, chunk: int = CHUNK) -
         first = table.slice(0, 1)
         return pa.table({"doc_id": first.column("doc_id"), "n_chars": first.column("n_chars"), "ids": pa.array([b"".join(x[1] for x in rows)], pa.binary()), "round_trip": pa.array([all(x[2] for x in rows)])})
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"), text.alias("text"))
     made = materialize(rows.mapInArrow(whole, head + ", key string, k int, text string, low int, high int"))
     chunks = made.filter("key is not null").drop("ids")
     cells = chunks.select("key", "k", "text", "low", "high").mapInArrow(transfer, "key string, k int, cells array<struct<s int, p string, t int, q string>>")

@@ -5,7 +5,7 @@ A query searches all trees through one priority queue: the root of each tree ent
 after the number of leaves found to reach TARGET recall on the sample (measured there by brute force, on CALIBRATED queries).
 
 Rows and queries meet in leaves as blocks of at most BLOCK rows and BLOCK queries; a row that several trees offer is scored in the first tree only (queries carry the set of leaves they visit, rows their leaf in each tree).
-Candidates are scored exactly, in double precision on the original vectors.
+Candidates are scored exactly, in double precision on the original vectors; those below the k + 1 best among the sample's vectors in the same leaves (they are candidates too) cannot be among its answers and are not sent on.
 
 Equal vectors: a query's answers can only hold the k + 1 smallest ids of each distinct vector, so that many are indexed and the rest cannot change a result; queries with equal vectors are searched once.
 Null, zero and non-finite vectors, null ids, and vectors of another length than most take no part. Ties go to the smaller vec_id. Fewer candidates than k are all returned. Repeated ids: a row's own id is never its answer. Columns besides vec_id and embedding are not read.
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bounded_batches, materialize
 
 TREES, SAMPLE, LEAF_ROWS, LEAF_SAMPLE = 6, 20_000, 512, 8
 TARGET, CALIBRATED, BLOCK = 0.97, 200, 4096
@@ -67,7 +67,7 @@ class Tree:
 
 class Forest:
     def __init__(self, points: np.ndarray, leaf: int, top: float, trees: int = TREES, seed: int = 0):
-        self.top = top
+        self.top, self.points, self.placed = top, points, None
         random = np.random.default_rng(seed)
         lifted = self.lift(points)
         self.trees = [Tree(lifted, leaf, random) for _ in range(trees)]
@@ -81,6 +81,18 @@ class Forest:
         lifted = self.lift(x)
         return np.column_stack([t.place(lifted) + b for t, b in zip(self.trees, self.base, strict=False)])
 
+    def bound(self, q: np.ndarray, visited: list[int], k: int) -> float:
+        """A score that the k best found reach: the k-th best of the sample's vectors in the leaves visited, less what rounding may take."""
+        if self.placed is None:
+            self.placed = self.place(self.points)
+        mask = np.zeros(int(self.base[-1]), bool)
+        mask[visited] = True
+        some = self.points[mask[self.placed].any(axis=1)]
+        if len(some) < k:
+            return -np.inf
+        best = np.partition(some @ q, len(some) - k)[len(some) - k]
+        return float(best - 1e-9 * (1 + abs(best)))
+
     def visit(self, q: np.ndarray, visits: int) -> list[int]:
         """Leaves for one query, best first, through one queue for all trees."""
         q = np.r_[q / np.linalg.norm(q) * self.top, 0.0]
@@ -130,6 +142,7 @@ def usable(rows: DataFrame) -> DataFrame:
 def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row whose vec_id is divisible by `every`."""
     spark = rows.sparkSession
+    bounded_batches(spark)
     rows = usable(rows)
     same = [F.xxhash64("x").alias("c"), F.hash("x").alias("c2")]
     order = Window.partitionBy("c", "c2").orderBy("vec_id")
@@ -137,7 +150,7 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
     count, top = index.agg(F.count("*"), F.max(norm)).first()
     chosen = [r.x for r in index.select("x", "vec_id", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id").limit(sample).collect()]
-    points = np.array(chosen, np.float64).reshape(len(chosen), -1)
+    points = np.array(chosen, np.float64) if chosen else np.zeros((0, 1))
     leaf = max(LEAF_SAMPLE, int(len(points) * LEAF_ROWS / max(count, 1)))
     forest = Forest(points, leaf, top or 0.0, trees)
     if len(points):
@@ -157,7 +170,7 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
         f = shared.value
         for b in batches:
             visited = [f.visit(q, f.visits) for q in vectors(b.column("x"))]
-            yield pa.RecordBatch.from_arrays([b.column("qid"), pa.array([r.tobytes() for r in vectors(b.column("x"))], pa.binary()), pa.array(visited, pa.list_(pa.int32()))], ["qid", "x", "leaves"])
+            yield pa.RecordBatch.from_arrays([b.column("qid"), pa.array([r.tobytes() for r in vectors(b.column("x"))], pa.binary()), pa.array(visited, pa.list_(pa.int32())), pa.array([f.bound(q, v, k + 1) for q, v in zip(vectors(b.column("x")), visited, strict=True)])], ["qid", "x", "leaves", "bound"])
 
     # one search for each distinct vector among the queries, under the least of their ids
     wanted = rows.filter(F.col("vec_id") % every == 0).select("vec_id", "x", *same)
@@ -165,7 +178,7 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
     searched = materialize(searched)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(index.select("vec_id", "x").repartition(n).mapInArrow(place, "vec_id long, x binary, leaves array<int>"))
-    asking = materialize(searched.select("qid", "x").repartition(n).mapInArrow(visit, "qid long, x binary, leaves array<int>"))
+    asking = materialize(searched.select("qid", "x").repartition(n).mapInArrow(visit, "qid long, x binary, leaves array<int>, bound double"))
     # blocks of each leaf; a row a leaf, bounded by the sample
     row_blocks = {r.leaf: r.n // BLOCK + 1 for r in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     query_blocks = {r.leaf: r.n // BLOCK + 1 for r in asking.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}
@@ -178,7 +191,7 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
 
     left = placed.select("vec_id", "x", "leaves", F.explode("leaves").alias("leaf"))
     left = left.withColumn("rb", F.pmod(F.xxhash64("vec_id"), blocks(row_blocks)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), blocks(query_blocks) - 1)))
-    right = asking.select("qid", "x", "leaves", F.explode("leaves").alias("leaf"))
+    right = asking.select("qid", "x", "leaves", "bound", F.explode("leaves").alias("leaf"))
     right = right.withColumn("qb", F.pmod(F.xxhash64("qid"), blocks(query_blocks)).cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0), blocks(row_blocks) - 1)))
 
     def meet(key, rows_, queries):
@@ -195,10 +208,11 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
                 part = queries.slice(s, 256)
                 q = np.frombuffer(b"".join(part.column("x").to_pylist())).reshape(part.num_rows, -1)
                 dots = q @ x.T
-                for i, (qid, seen) in enumerate(zip(part.column("qid").to_pylist(), part.column("leaves").to_pylist(), strict=True)):
+                for i, (qid, seen, bound) in enumerate(zip(*(part.column(c).to_pylist() for c in ("qid", "leaves", "bound")), strict=True)):
                     visited = np.zeros(int(base[-1]), bool)
                     visited[seen] = True
-                    mine = np.flatnonzero(~visited[leaves[:, :tree]].any(axis=1))
+                    mine = np.flatnonzero(dots[i] >= bound)
+                    mine = mine[~visited[leaves[mine, :tree]].any(axis=1)]
                     if len(mine) > k + 1:
                         d = dots[i, mine]
                         cut = np.partition(d, len(d) - k - 1)[len(d) - k - 1]

@@ -21,18 +21,19 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, parts, total_bytes, training, utf8
+from .common import Words, bounded_batches, enter, materialize, parts, release, total_bytes, training, utf8
 
-GROUP, CACHE = 8 << 20, 300_000
+GROUP = 8 << 20
 MU2, MU3 = 1000.0, 3.0
 SCALE, ABSENT = 8192, 0xFFFF
-#: The end of a text; no word has this byte.
-END = xxhash.xxh3_64_intdigest(b"\n")
+#: Values whose low bits are read or written at once.
+PART = 1 << 14
+#: The end of a text among the hashes of words.
+END = np.uint64(0x5851F42D4C957F2D)
 
 
 class EliasFano:
@@ -40,14 +41,15 @@ class EliasFano:
 
     def __init__(self, values: np.ndarray, top: int):
         self.n = len(values)
-        self.low = max(0, (max(top, 1) // max(self.n, 1)).bit_length() - 1)
+        self.low = min(32, max(0, (max(top, 1) // max(self.n, 1)).bit_length() - 1))
         values = values.astype(np.uint64)
         high = (values >> np.uint64(self.low)).astype(np.int64) + np.arange(self.n)
-        bits = np.zeros(int(high[-1]) + 1 if self.n else 0, np.uint8)
-        bits[high] = 1
+        bits = np.zeros(int(high[-1]) + 1 if self.n else 0, bool)
+        bits[high] = True
         self.upper = np.packbits(bits)
-        lows = (values[:, None] >> np.arange(self.low, dtype=np.uint64)[None, :] & np.uint64(1)).astype(np.uint8) if self.low else np.zeros((self.n, 0), np.uint8)
-        self.lower = np.packbits(lows.ravel())
+        # low bits, a few thousand values at a time: their number is a multiple of 8, so each part ends with a whole byte
+        parts_ = [np.packbits(np.unpackbits(values[k : k + PART].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 4:], axis=1)[:, 32 - self.low :]) for k in range(0, self.n if self.low else 0, PART)]
+        self.lower = np.concatenate(parts_) if parts_ else np.zeros(0, np.uint8)
         self.index()
 
     def index(self):
@@ -63,11 +65,13 @@ class EliasFano:
         at = np.flatnonzero(np.unpackbits(np.asarray(self.upper[b * 4096 : e * 4096]))) + b * 4096 * 8
         at = at[first - self.before[b] : last - self.before[b]] - np.arange(first, last)
         out = at.astype(np.uint64) << np.uint64(self.low)
-        if self.low:
-            s, t = first * self.low, last * self.low
+        for k in range(first, last if self.low else first, PART):
+            end = min(last, k + PART)
+            s, t = k * self.low, end * self.low
             bits = np.unpackbits(np.asarray(self.lower[s // 8 : (t + 7) // 8]))[s % 8 : s % 8 + t - s].reshape(-1, self.low)
-            for k in range(self.low):
-                out |= bits[:, k].astype(np.uint64) << np.uint64(k)
+            wide = np.zeros((len(bits), 32), np.uint8)
+            wide[:, 32 - self.low :] = bits
+            out[k - first : end - first] |= np.packbits(wide, axis=1).view(">u4").ravel().astype(np.uint64)
         return out
 
     def __getitem__(self, i: int) -> int:
@@ -158,10 +162,43 @@ class Trie:
         return code(self.alpha2, pairs), code(self.gamma2, pairs), code(self.alpha3, triples)
 
 
-class Hashes(dict):
-    def __missing__(self, word):
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+def numbered(a: np.ndarray, b: np.ndarray, train: np.ndarray, count: bool):
+    """Distinct pairs (a << 32 | b, rising) of numbers that are both 0 or more, the pair's number in each place (-1: none), and how often it stands in training."""
+    both = np.flatnonzero((a >= 0) & (b >= 0))
+    key = a[both] << 32 | b[both]
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    name = np.cumsum(new) - 1
+    where = both[order]
+    out = np.full(len(a), -1)
+    out[where] = name
+    return ordered[new], out, np.bincount(name[train[where]], minlength=int(new.sum())).astype(np.uint32) if count else None
+
+
+def dealt(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by shard, otherwise in their order, and where each shard starts."""
+    shard = shard.astype(np.uint16 if shards <= 65536 else np.int64)
+    order = np.argsort(shard, kind="stable")
+    return order, np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))]
+
+
+def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs sorted: their order, which of them are new there, and the number of each pair among the distinct ones."""
+    if not len(a):
+        return np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
+    if max(int(a.max()), int(b.max())) < 2**32:
+        key = a << np.uint64(32) | b
+        order = np.argsort(key)
+        key = key[order]
+        new = np.r_[True, key[1:] != key[:-1]]
+    else:
+        order = np.lexsort((b, a))
+        new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]
+    name = np.empty(len(a), np.int64)
+    name[order] = np.cumsum(new) - 1
+    return order, new, name
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -187,23 +224,16 @@ class Group:
     def __init__(self, table: pa.Table):
         rows = table.combine_chunks()
         self.ids, texts, train = rows.column("doc_id").to_pylist(), utf8(rows.column("text").combine_chunks()), rows.column("train").to_pylist()
-        cache, arrays = Hashes(), []
-        for t in texts:
-            words = t.lower().split() if t else []
-            arrays.append(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)))
-            arrays.append(np.array([END], np.uint64))
-            if len(cache) > CACHE:
-                cache.clear()
-        sizes = np.array([len(a) for a in arrays], np.int64).reshape(-1, 2).sum(axis=1)
+        words = Words(texts, lower=True)
+        sizes = words.counts + 1
+        hashes = np.insert(words.hashes(), np.cumsum(words.counts), END)  # each text has an end
         self.sizes, self.train = sizes, np.repeat(np.array(train, bool), sizes)
         self.first = np.cumsum(sizes) - sizes
-        self.words, self.tokens = np.unique(np.concatenate(arrays) if arrays else np.zeros(0, np.uint64), return_inverse=True)
+        self.words, self.tokens = np.unique(hashes, return_inverse=True)
         self.held_out = [not x for x in train]
 
     def by_shard(self, shards: int):
-        shard = (self.words % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        cut = np.searchsorted(shard[order], np.arange(shards + 1))
+        order, cut = dealt(self.words % np.uint64(shards), shards)
         return [(s, order[cut[s] : cut[s + 1]]) for s in range(shards) if cut[s] < cut[s + 1]]
 
     def vocabulary(self, answers: dict[int, bytes], shards: int):
@@ -212,44 +242,39 @@ class Group:
         for s, at in self.by_shard(shards):
             self.known[at], self.counts[at] = unpack(answers[s])
 
-    def grams(self, shards: int):
-        """Distinct pairs and triples of known words in the order of ids. Id 1 stands for the start of a text."""
-        order = np.argsort(self.known, kind="stable")
+    def grams(self, shards: int, ends: int = 0, ask: bool = True):
+        """Distinct pairs and triples of known words in the order of ids, shard by shard: (shard, pairs, triples) and, to ask, what is sent. Id 1 stands for the start of a text."""
+        order = np.argsort(self.known)
         rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order)) + 1
+        rank[order] = np.arange(1, len(order) + 1)
         names = np.r_[np.uint64(1), self.known[order]]
+        rank[self.known == 0] = -1
         cur = rank[self.tokens]
-        cur[self.known[self.tokens] == 0] = -1
-        prev = np.r_[0, cur[:-1]]
+        prev = np.empty_like(cur)
+        prev[1:] = cur[:-1]
         prev[self.first] = 0
-        both = (prev >= 0) & (cur >= 0)
-        pairs, back = np.unique(prev[both] << 32 | cur[both], return_inverse=True)
-        self.pair = np.full(len(cur), -1)
-        self.pair[both] = back
-        before = np.r_[-1, self.pair[:-1]]
-        before[self.first] = -1
-        self.context = before
-        all_ = (before >= 0) & (cur >= 0)
-        triples, back3 = np.unique(before[all_] << 32 | cur[all_], return_inverse=True)
-        self.triple = np.full(len(cur), -1)
-        self.triple[all_] = back3
-        c2 = np.bincount(back, weights=self.train[both], minlength=len(pairs)).astype(np.uint32)
-        c3 = np.bincount(back3, weights=self.train[all_], minlength=len(triples)).astype(np.uint32)
+        pairs, self.pair, c2 = numbered(prev, cur, self.train, ask)
+        self.context = np.empty_like(self.pair)
+        self.context[1:] = self.pair[:-1]
+        self.context[self.first] = -1
+        triples, self.triple, c3 = numbered(self.context, cur, self.train, ask)
         u, v = names[pairs >> 32], names[pairs & 0xFFFFFFFF]
-        owner, w = triples >> 32, names[triples & 0xFFFFFFFF]
+        owner = triples >> 32
         with np.errstate(over="ignore"):
             h = (u * np.uint64(0x9E3779B97F4A7C15) + v) * np.uint64(0xC2B2AE3D27D4EB4F)
-            shard = ((h ^ h >> np.uint64(29)) % np.uint64(shards)).astype(np.int64)
-        number = np.bincount(owner, minlength=len(pairs))
-        start = np.cumsum(number) - number
-        order = np.argsort(shard, kind="stable")
-        cut = np.searchsorted(shard[order], np.arange(shards + 1))
+        order, cut = dealt((h >> np.uint64(33)) % np.uint64(shards), shards)
+        number = np.bincount(owner, minlength=len(pairs))[order]
+        start = np.searchsorted(owner, np.arange(len(pairs)))[order]
+        third = np.repeat(start - (np.cumsum(number) - number), number) + np.arange(number.sum())
+        upto = np.r_[0, np.cumsum(number)][cut]
+        if ask:
+            counts = np.r_[np.uint64(ends), self.counts[np.argsort(self.known)]]
+            sent = u[order], v[order], c2[order], counts[pairs[order] >> 32], number
+            more = names[triples[third] & 0xFFFFFFFF], c3[third]
         for s in range(shards):
-            at = order[cut[s] : cut[s + 1]]
-            if len(at):
-                k = number[at]
-                third = np.repeat(start[at] - (np.cumsum(k) - k), k) + np.arange(k.sum())
-                yield s, at, third, u[at], v[at], c2[at], k, w[third], c3[third]
+            a, b, x, y = cut[s], cut[s + 1], upto[s], upto[s + 1]
+            if a < b:
+                yield s, order[a:b], third[x:y], *((*(z[a:b] for z in sent), *(z[x:y] for z in more)) if ask else ())
 
     def context_count(self, end_count: int) -> np.ndarray:
         """Training count of the word before each token; a text starts as often as one ends."""
@@ -265,6 +290,7 @@ def delta(u: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     n = parts(spark, total_bytes(docs), GROUP)
     shards = n
@@ -278,6 +304,7 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
         return pa.table({"g": pa.array([x[0] for x in items], pa.int32()), "shard": pa.array([x[1] for x in items], pa.int32()), "blob": pa.array([x[2] for x in items], pa.binary())})
 
     def words(key, table):
+        enter("lm")
         group = Group(table)
         counts = np.bincount(group.tokens, weights=group.train, minlength=len(group.words)).astype(np.uint64)
         return sent((key[0].as_py(), s, pack(group.words[at], counts[at])) for s, at in group.by_shard(shards))
@@ -314,6 +341,8 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
 
     asked = grouped.groupBy("g").applyInArrow(words, bytes_kind)
     numbered = materialize(asked.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(number, "g int, shard int, tokens long, types long, ends long, blob binary"))
+    del asked
+    release(spark)  # the shuffle of the first pass
     total = numbered.filter("g < 0").agg(F.sum("tokens"), F.sum("types"), F.sum("ends")).first()  # one row a shard, three numbers to the driver
     tokens, types, ends = (int(x or 0) for x in total)
     vocabulary = numbered.filter("g >= 0").select("g", "shard", "blob", F.lit(True).alias("words"))
@@ -324,12 +353,11 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
         return group
 
     def ask(key, docs_, answers):
+        enter("lm")
         group = restored(docs_, answers)
-        count = dict(zip(group.known.tolist(), group.counts.tolist(), strict=True)) | {1: ends}
         items = []
-        for s, _, _, u, v, c2, k, w, c3 in group.grams(shards):
-            cu = np.array([count[x] for x in u[np.r_[True, u[1:] != u[:-1]]].tolist()], np.uint64)
-            items.append((key[0].as_py(), s, pack(delta(u), v, c2, cu, k.astype(np.uint32), w, c3)))
+        for s, _, _, u, v, c2, cu, k, w, c3 in group.grams(shards, ends):
+            items.append((key[0].as_py(), s, pack(delta(u), v, c2, cu[np.r_[True, u[1:] != u[:-1]]], k.astype(np.uint32), w, c3)))
         return sent(items)
 
     def look_up(batches):
@@ -340,32 +368,34 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2) -> DataFrame:
                 u = np.cumsum(du, dtype=np.uint64)
                 parts_.append((u, v, c2, cu[np.cumsum(np.r_[False, u[1:] != u[:-1]])], k.astype(np.int64), w, c3))
             u, v, c2, cu, k, w, c3 = (np.concatenate([p[i] for p in parts_]) for i in range(7))
-            order = np.lexsort((v, u))
-            new = np.r_[True, (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])]
-            name = np.empty(len(u), np.int64)
-            name[order] = np.cumsum(new) - 1
+            order, new, name = distinct(u, v)
             pair_counts = np.bincount(name, weights=c2)
             rows_ = order[new]
             owner = np.repeat(name, k)
-            order = np.lexsort((w, owner))
-            new3 = np.r_[True, (owner[order][1:] != owner[order][:-1]) | (w[order][1:] != w[order][:-1])] if len(w) else np.zeros(0, bool)
-            counts3 = np.add.reduceat(c3[order].astype(np.float64), np.flatnonzero(new3)) if len(w) else np.zeros(0)
-            owner3, w3 = owner[order][new3], w[order][new3]
+            order3, new3, name3 = distinct(owner.astype(np.uint64), w)
+            counts3 = np.bincount(name3, weights=c3)
+            rows3 = order3[new3]
             live, live3 = pair_counts > 0, counts3 > 0
             where = np.cumsum(live) - 1
-            trie = Trie(u[rows_][live], v[rows_][live], pair_counts[live], cu[rows_][live].astype(np.float64), where[owner3[live3]], w3[live3], counts3[live3])
+            u1, v1, owner1, w1 = u[rows_], v[rows_], owner[rows3], w[rows3]
+            trie = Trie(u1[live], v1[live], pair_counts[live], cu[rows_][live].astype(np.float64), where[owner1[live3]], w1[live3], counts3[live3])
+            # every distinct question is asked once, in order, and the codes are dealt to the groups that sent it
+            a2, g2, a3 = trie.answer(u1, v1, np.bincount(owner1, minlength=len(u1)), w1)
+            at2, at3 = 0, 0
             for (g, _), p in zip(asked, parts_, strict=True):
-                codes = trie.answer(p[0], p[1], p[4], p[5])
-                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([shard], pa.int32()), pa.array([pack(*codes)], pa.binary()), pa.array([False])], ["g", "shard", "blob", "words"])
+                own, own3 = name[at2 : at2 + len(p[0])], name3[at3 : at3 + len(p[5])]
+                at2, at3 = at2 + len(own), at3 + len(own3)
+                yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([shard], pa.int32()), pa.array([pack(a2[own], g2[own], a3[own3])], pa.binary()), pa.array([False])], ["g", "shard", "blob", "words"])
 
         return in_runs(batches, settle)
 
     def finish(key, docs_, answers):
+        enter("lm")
         group = restored(docs_, answers)
         codes = {s: b for s, b, w in zip(*(answers.column(k).to_pylist() for k in ("shard", "blob", "words")), strict=True) if not w}
         size2, size3 = 0, 0
         got = []
-        for s, at, third, *_ in group.grams(shards):
+        for s, at, third in group.grams(shards, ask=False):
             got.append((at, third, unpack(codes[s])))
             size2, size3 = size2 + len(at), size3 + len(third)
         alpha2, gamma2, alpha3 = np.full(size2 + 1, ABSENT, np.uint16), np.full(size2 + 1, ABSENT, np.uint16), np.full(size3 + 1, ABSENT, np.uint16)

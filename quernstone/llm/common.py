@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import tempfile
@@ -86,6 +87,27 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+#: What the operator at work in this Python worker remembers from task to task.
+memories: dict[str, object] = {}
+
+
+def enter(name: str) -> None:
+    """An operator starts a task in this worker: what another one left goes, and freed memory returns to the machine."""
+    if memories.get("at") != name:
+        memories.clear()
+        memories["at"] = name
+        powers.clear()
+    trim()
+
+
+def trim() -> None:
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: 1: ASCII letters, 2: marks after which a word may be cut.
@@ -223,6 +245,10 @@ class Memo:
 
     def gather(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after another, and where each word's ids start (with the end of the last)."""
-        length = self.length[number].astype(np.int64)
-        total = np.r_[0, np.cumsum(length)]
-        return self.ids[np.repeat(self.first[number] - total[:-1], length) + np.arange(total[-1])], total
+        length = self.length[number]
+        total = np.zeros(len(length) + 1, np.int64)
+        np.cumsum(length, out=total[1:])
+        kind = np.int32 if total[-1] + self.used < 2**31 else np.int64
+        at = np.repeat(self.first[number] - total[:-1].astype(kind), length)
+        at += np.arange(total[-1], dtype=kind)
+        return self.ids[at], total

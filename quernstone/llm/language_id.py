@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, training
+from .common import bounded_batches, enter, training
 
 ORDER = 4
 #: The bound of the training sample.
@@ -169,6 +169,7 @@ def identify(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_language:
     schema = docs.withColumn("held_out", ~training("doc_id", modulus, held_out)).schema
 
     def run(batches):
+        enter("language")
         for b in batches:
             got = model.value.predict(b.column(names.index("text")).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x[0] for x in got], pa.string()), *(pa.array([x[k] for x in got], pa.float64()) for k in (1, 2))], [*b.schema.names, "lang_pred", "score", "bits_per_byte"])

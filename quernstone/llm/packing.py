@@ -15,6 +15,7 @@ Columns besides doc_id and text are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right
 
@@ -23,15 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, Words, bounded_batches, materialize, union_all, utf8
+from .common import Memo, Words, bounded_batches, enter, materialize, memories, union_all, utf8
 
 WINDOW, END_ID = 4096, 2
-#: Pieces of cut documents that may be sent to all tasks.
-BROADCAST = 20_000
+#: Cut documents that may be named in the scan's filter, and whose pieces may be sent to all tasks.
+NAMED, BROADCAST = 1_000, 20_000
 #: Rows ranked by one task, about.
 RANKED = 100_000
 #: Words whose ids a worker remembers.
-CACHE = 1_500_000
+CACHE = 1_200_000
 SLOTS = 21
 
 
@@ -41,33 +42,47 @@ class Encoder:
 
     def __init__(self, path: str, limit: int = CACHE, slots: int = SLOTS):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         # a word of one id that stands between others when many are encoded at once
         self.mark, (self.mark_id,) = b"~", self.tokenizer.encode("~", add_special_tokens=False).ids
         self.memo = Memo(self.learn, limit, slots)
+        # words of ASCII letters alone need none of the rules for texts, only the merges
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = WhitespaceSplit()
 
     def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        odd = {k for k, w in enumerate(words) if self.mark in w or b"<|" in w}
-        plain = [w for k, w in enumerate(words) if k not in odd] if odd else words
-        ids, length = [], []
-        texts = [(b" " + self.mark + b" ").join(plain[i : i + 1000]).decode("utf-8", "replace") for i in range(0, len(plain), 1000)]
-        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            got = np.array(e.ids, np.uint32)
-            ends = np.r_[np.flatnonzero(got == self.mark_id), len(got)]
-            length.append(np.diff(ends, prepend=-1) - 1)
-            ids.append(got[got != self.mark_id])
-        ids, length = np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate([*length, np.zeros(0, np.int64)])
-        if odd:  # put among the others, each at its place
-            at = sorted(odd)
-            each = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([words[k].decode("utf-8", "replace") for k in at], add_special_tokens=False)]
-            place = np.array(at) - np.arange(len(at))
-            start = np.r_[0, np.cumsum(length)][place]
-            ids = np.insert(ids, np.repeat(start, [len(x) for x in each]), np.concatenate(each))
-            length = np.insert(length, place, [len(x) for x in each])
-        return ids, length
+        letters = np.array([w.isalpha() and w.islower() for w in words], bool)
+        kinds = [np.flatnonzero(letters).tolist(), [], []]
+        for k in np.flatnonzero(~letters).tolist():
+            kinds[2 if self.mark in words[k] or b"<|" in words[k] else 1].append(k)
+        got, length, order = [], np.zeros(len(words), np.int64), []
+        for tokenizer, which in ((self.letters, kinds[0]), (self.tokenizer, kinds[1])):
+            some = [words[k] for k in which]
+            sizes = [np.zeros(0, np.int64)]
+            for i in range(0, len(some), 10_000):
+                texts = [(b" " + self.mark + b" ").join(some[k : k + 1000]).decode("utf-8", "replace") for k in range(i, min(i + 10_000, len(some)), 1000)]
+                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                    ids = np.array(e.ids, np.uint32)
+                    ends = np.r_[np.flatnonzero(ids == self.mark_id), len(ids)]
+                    sizes.append(np.diff(ends, prepend=-1) - 1)
+                    got.append(ids[ids != self.mark_id])
+            length[which] = np.concatenate(sizes)
+            order += which
+        for k, e in zip(kinds[2], self.tokenizer.encode_batch_fast([words[k].decode("utf-8", "replace") for k in kinds[2]], add_special_tokens=False), strict=True):
+            got.append(np.array(e.ids, np.uint32))
+            length[k] = len(e.ids)
+            order.append(k)
+        # ids in the order of the words
+        ids, order = np.concatenate([*got, np.zeros(0, np.uint32)]), np.array(order, np.int64)
+        first = np.empty(len(words), np.int64)
+        first[order] = np.cumsum(length[order]) - length[order]
+        place = np.cumsum(length) - length
+        return ids[np.repeat(first - place, length) + np.arange(length.sum())], length
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         # the special words are told apart before letters are lowered
@@ -88,17 +103,14 @@ class Encoder:
         return [np.concatenate(out)]
 
 
-#: One for each vocabulary in a worker, kept from task to task.
-encoders: dict[str, Encoder] = {}
-
-
 def encoder_of(path: str) -> Encoder:
-    if path not in encoders:
-        encoders[path] = Encoder(path)
-    return encoders[path]
+    """One for each vocabulary in a worker, kept from task to task."""
+    if path not in memories:
+        memories[path] = Encoder(path)
+    return memories[path]
 
 
-def pieces(texts: list[bytes | None], size: int = 8 << 20):
+def pieces(texts: list[bytes | None], size: int = 4 << 20):
     """Texts a few at a time."""
     at = 0
     while at < len(texts):
@@ -115,6 +127,7 @@ def encoded(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
+        enter("packing")
         encoder = encoder_of(path)
         for b in batches:
             out = []
@@ -312,7 +325,10 @@ def cut_crcs(docs: DataFrame, cut: DataFrame, path: str, end_id: int) -> DataFra
     each = cut.groupBy("doc_id").agg(F.collect_list(F.struct("crc", "start", "length", "doc_tokens", "sequence_id", "offset")).alias("pieces"))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("t")
     # few documents are cut as a rule: then their pieces go to the texts, and the texts stay where they are
-    if cut.count() <= BROADCAST:
+    few = cut.select("doc_id").distinct().limit(BROADCAST + 1).collect()
+    if len(few) <= NAMED:
+        docs = docs.filter(F.col("doc_id").isin([r.doc_id for r in few if r.doc_id is not None]) | (F.col("doc_id").isNull() if any(r.doc_id is None for r in few) else F.lit(False)))
+    if len(few) <= BROADCAST:
         each = F.broadcast(each)
     both = texts.join(each.alias("e"), F.col("t.doc_id").eqNullSafe(F.col("e.doc_id"))).select("t.doc_id", "t.text", "e.pieces").dropDuplicates(["doc_id", "text"])
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, utf8
+from .common import bounded_batches, enter, materialize, utf8
 
 BITS = 64
 #: Distinct fingerprints compared with each other in one bucket; larger ones are dealt out again.
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
     """doc_id, row (a hash of the text) and fp, the fingerprint as a signed long."""
 
     def run(batches):
+        enter("simhash")
         for b in batches:
             fps = [simhash(t, words, seed) for t in utf8(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "row", "fp"])
@@ -106,6 +107,7 @@ def bucketed(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
     """rows: path, key, fp. Returns edges (deep false: a, b) and rows to deal out again (deep true: path, key, a as fp)."""
 
     def run(batches):
+        enter("simhash")
         tables, step = Tables(radius), np.uint64(radius)
         held: list[np.ndarray] = [np.empty((0, 3), np.int64)]
 

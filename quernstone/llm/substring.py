@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BASE, NULL_ID, SPACE, Words, bounded_batches, parts, rolled, total_bytes, utf8
+from .common import BASE, NULL_ID, SPACE, Words, bounded_batches, enter, parts, rolled, total_bytes, utf8
 
 WINDOW, MINIMISER, GROUP = 13, 8, 8 << 20
 
@@ -173,6 +173,7 @@ def swept(docs: DataFrame, finish, schema, window: int = WINDOW, size: int = MIN
         return pa.table({"shard": pa.array([x[0] for x in items], pa.int32()), "g": pa.array([x[1] for x in items], pa.int32()), "blob": pa.array([x[2] for x in items], pa.binary())})
 
     def ask(key, docs_):
+        enter("substring")
         group = Group(docs_, window, size)
         group.windows()
         return table((s, key[0].as_py(), m.tobytes()) for s, m in group.by_shard(n))
@@ -191,6 +192,7 @@ def swept(docs: DataFrame, finish, schema, window: int = WINDOW, size: int = MIN
         return in_runs(batches, "shard", settle)
 
     def send(key, docs_, answers):
+        enter("substring")
         group, g = Group(docs_, window, size), key[0].as_py()
         group.windows()
         settled = group.settle()
@@ -211,6 +213,7 @@ def swept(docs: DataFrame, finish, schema, window: int = WINDOW, size: int = MIN
         return in_runs(batches, "shard", settle)
 
     def remove(key, docs_, ranges):
+        enter("substring")
         group = Group(docs_, window, size)
         gone = np.zeros(int(group.sizes.sum()) + 1, np.int64)
         at = np.frombuffer(b"".join(ranges.column("blob").to_pylist()), np.int64).reshape(-1, 2)

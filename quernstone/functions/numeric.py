@@ -62,7 +62,8 @@ def conversion(unit, target) -> Column:
         factor = F.when(~no_goal & ~no_source, factors[F.concat(source, F.lit(">"), goal)])
         return F.struct(F.coalesce(factor, F.lit(1.0)).alias("factor"), F.when(no_goal, source).when(no_source | (source == goal) | factor.isNotNull(), goal).otherwise(source).alias("unit"))
 
-    return let(F.struct(canonical_unit(unit).alias("source"), canonical_unit(target).alias("goal")), settle)
+    spelled = lambda raw: F.struct(canonical_unit(raw["source"]).alias("source"), canonical_unit(raw["goal"]).alias("goal"))
+    return let(let(F.struct(unit.alias("source"), target.alias("goal")), spelled), settle)
 
 
 def parse(raw, default_unit=None, detect: bool = True, ranges: bool = True, several: bool = False, legacy_range_units: bool = False) -> Column:

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import re
 import tempfile
+import time
 import uuid
 import zlib
 from functools import reduce
@@ -53,8 +54,10 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the cleaner works on what a collection finds, a moment later
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def total_bytes(docs: DataFrame, column: str = "text") -> int:

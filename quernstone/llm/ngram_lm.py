@@ -204,7 +204,7 @@ def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 def pack(*arrays: np.ndarray) -> bytes:
     head = np.array([len(arrays), *(x for a in arrays for x in (a.dtype.itemsize, len(a)))], np.int64).tobytes()
     planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T).tobytes() for a in arrays]
-    return zstandard.compress(head + b"".join(planes), 1)
+    return zstandard.compress(head + b"".join(planes), 3)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:

@@ -176,9 +176,9 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
     wanted = rows.filter(F.col("vec_id") % every == 0).select("vec_id", "x", *same)
     searched = wanted.withColumn("n", F.row_number().over(order)).filter("n = 1").select(F.col("vec_id").alias("qid"), "x", "c", "c2")
     searched = materialize(searched)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialize(index.select("vec_id", "x").repartition(n).mapInArrow(place, "vec_id long, x binary, leaves array<int>"))
-    asking = materialize(searched.select("qid", "x").repartition(n).mapInArrow(visit, "qid long, x binary, leaves array<int>, bound double"))
+    # tasks by the work there is: placing is quick, a visit is a walk through the forest
+    placed = materialize(index.select("vec_id", "x").repartition(count // 2048 + 1).mapInArrow(place, "vec_id long, x binary, leaves array<int>"))
+    asking = materialize(searched.select("qid", "x").repartition(count // (64 * every) + 1).mapInArrow(visit, "qid long, x binary, leaves array<int>, bound double"))
     # blocks of each leaf; a row a leaf, bounded by the sample
     row_blocks = {r.leaf: r.n // BLOCK + 1 for r in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     query_blocks = {r.leaf: r.n // BLOCK + 1 for r in asking.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import language_id, packing, simhash, substring
+from quernstone.llm import jaccard, language_id, packing, substring
 from quernstone.llm.common import NULL_ID, materialize, table
 from quernstone.llm.queries import tokenizer
 
@@ -19,10 +19,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the least id stays (of repeated rows, one)."""
-    groups = simhash.near_duplicates(docs)
+    """Of each group of documents linked by 5-word shingles (Jaccard similarity 0.8 or more) or fingerprints the one with the least id stays (of repeated rows, one)."""
+    each = materialize(jaccard.groups(docs))
     # a group whose ids are all null keeps its rows without an id that differ
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("row").alias("_row")).distinct()
+    keep = each.join(each.groupBy("group").agg(F.min("_id").alias("least")), "group").filter(F.col("_id") == F.col("least")).select("_id", "_row").distinct()
     rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("_row", F.xxhash64(F.col("text").cast("string")))
     return rows.join(keep, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]).select(*docs.columns)
 

@@ -454,3 +454,44 @@ def test_pipeline(spark, tmp_path):
     assert all(hashlib.sha256(" ".join(WORD.findall(t)).encode()).hexdigest() == want[str(d)] for d, t in text.items())
     assert check_packing(list(text.items()), p.run(spark, str(tmp_path)).collect()) == 0
     assert [k for k, _ in p.STAGES] == ["language", "near_duplicates", "repeated_passages", "packing"]
+
+
+def plain_shingles(t, words=5):
+    w = lower(t).split()
+    return {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+
+
+def test_pipeline_reaches_similarity(spark):
+    import corpus_pipeline as p
+
+    r, texts_ = random.Random(12), []
+    for k in range(60):
+        t = ["".join(r.choice("etaoinsh") for _ in range(r.randint(3, 7))) for _ in range(r.choice([30, 150, 400]))]
+        texts_.append(" ".join(t))
+        for _ in range(3):  # near copies: some words replaced, so that similarity is about 0.6 to 0.98
+            c = list(t)
+            for _ in range(r.randint(1, max(1, len(t) // 30))):
+                c[r.randrange(len(c))] = "zz" + str(r.randrange(99))
+            texts_.append(" ".join(c))
+    rows = list(enumerate(texts_)) + [(500, texts_[0]), (None, texts_[4]), (501, ""), (502, None), (503, "a b"), (504, "A\tb")]
+    sets = [plain_shingles(t or "") for _, t in rows]
+    fps = [simhash.simhash((t or "").encode()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    wide = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            near = not (sets[i] or sets[j]) or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+            bits = (fps[i] ^ fps[j]).bit_count()
+            wide += near and bits > 4
+            if near or bits <= 4:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    assert wide > 20
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = sorted(x.doc_id for x in p.near_duplicates(spark, docs, "").collect())
+    assert kept == sorted(d for k, (d, _) in enumerate(rows) if find(k) == k)

@@ -373,6 +373,17 @@ def test_license_wording_against_all_templates():
     assert (n, a, b, found) == (1, 1, 5, ["b->q"])
 
 
+def test_wrapped_licenses():
+    s, r = licenses.Scanner(), random.Random(3)
+    for name, template in licenses.TEMPLATES.items():
+        for prefix, width in (("", 3), (" * ", 5), ("# ", 9)):
+            w = template.split()
+            lines = "\n".join(prefix + " ".join(w[k : k + width]) for k in range(0, len(w), width))
+            (at, got), = s.notices("Some words\n" + lines + "\n" + "and more words here\n" * 3)
+            assert got[0] == name and got[3] == 0 and at == 11 + len(prefix)
+    assert s.notices(" ".join(r.choice("a of free license software under".split()) for _ in range(3000))) == []
+
+
 # 1
 
 

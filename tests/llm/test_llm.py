@@ -384,6 +384,17 @@ def test_wrapped_licenses():
     assert s.notices(" ".join(r.choice("a of free license software under".split()) for _ in range(3000))) == []
 
 
+def test_every_license_of_a_block(spark):
+    s = licenses.Scanner()
+    assert [g[0] for _, g in s.notices("Released under the MIT License. Licensed under CC BY 4.0.")] == ["MIT", "CC-BY-4.0"]
+    names, gap = sorted(licenses.TEMPLATES) * 3, {0: "", 1: "und so weiter ", 150: "word " * 150}
+    for some in gap.values():
+        text = some.join(licenses.TEMPLATES[k] + " " for k in names)
+        got = s.notices(text)
+        assert [g[0] for _, g in got] == names and all(text[at : at + len(g[5])] == g[5] for at, g in got)
+    assert licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).count() == len(names)
+
+
 # 1
 
 

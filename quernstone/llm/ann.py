@@ -7,8 +7,9 @@ after the number of leaves found to reach TARGET recall on the sample (measured
 Rows and queries meet in leaves as blocks of at most BLOCK rows and BLOCK queries; a row that several trees offer is scored in the first tree only (queries carry the set of leaves they visit, rows their leaf in each tree).
 Candidates are scored exactly, in double precision on the original vectors; those below the k + 1 best among the sample's vectors in the same leaves (they are candidates too) cannot be among its answers and are not sent on.
 
+Repeated ids: answers are distinct ids, each once with its best score over its rows, and an id is never its own answer. Rows with one id and vector are one from the start; ids, not rows, fill the places that are kept.
 Equal vectors: a query's answers can only hold the k + 1 smallest ids of each distinct vector, so that many are indexed and the rest cannot change a result; queries with equal vectors are searched once.
-Null, zero and non-finite vectors, null ids, and vectors of another length than most take no part. Ties go to the smaller vec_id. Fewer candidates than k are all returned. Repeated ids: a row's own id is never its answer. Columns besides vec_id and embedding are not read.
+Null, zero and non-finite vectors, null ids, and vectors of another length than most take no part. Ties go to the smaller vec_id. Fewer candidates than k are all returned. A vec_id with several vectors is asked with all of them. Columns besides vec_id and embedding are not read.
 """
 
 from __future__ import annotations
@@ -146,10 +147,11 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
     rows = usable(rows)
     same = [F.xxhash64("x").alias("c"), F.hash("x").alias("c2")]
     order = Window.partitionBy("c", "c2").orderBy("vec_id")
-    index = materialize(rows.select("vec_id", "x", *same).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1))
+    index = materialize(rows.select("vec_id", "x", *same).dropDuplicates(["vec_id", "c", "c2"]).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1))
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
     count, top = index.agg(F.count("*"), F.max(norm)).first()
-    chosen = [r.x for r in index.select("x", "vec_id", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id").limit(sample).collect()]
+    # one row an id, so that the k best of the sample are k ids
+    chosen = list({r.vec_id: r.x for r in index.select("x", "vec_id", "c", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id", "c").limit(sample).collect()}.values())
     points = np.array(chosen, np.float64) if chosen else np.zeros((0, 1))
     leaf = max(LEAF_SAMPLE, int(len(points) * LEAF_ROWS / max(count, 1)))
     forest = Forest(points, leaf, top or 0.0, trees)
@@ -203,6 +205,7 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
             by_id = np.argsort(vec, kind="stable")
             x, vec = x[by_id], vec[by_id]
             leaves = np.array(rows_.column("leaves").to_pylist())[by_id]
+            repeated = len(vec) > 1 and bool((vec[1:] == vec[:-1]).any())
             tree = int(np.searchsorted(base, key[0].as_py(), "right")) - 1
             for s in range(0, queries.num_rows, 256):
                 part = queries.slice(s, 256)
@@ -213,6 +216,9 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
                     visited[seen] = True
                     mine = np.flatnonzero(dots[i] >= bound)
                     mine = mine[~visited[leaves[mine, :tree]].any(axis=1)]
+                    if repeated:  # the best row of each id
+                        mine = mine[np.argsort(-dots[i, mine], kind="stable")]
+                        mine = np.sort(mine[np.unique(vec[mine], return_index=True)[1]])
                     if len(mine) > k + 1:
                         d = dots[i, mine]
                         cut = np.partition(d, len(d) - k - 1)[len(d) - k - 1]
@@ -226,10 +232,12 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
 
     keys = ["leaf", "rb", "qb"]
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "qid long, vec_id long, score double")
+    met = met.groupBy("qid", "vec_id").agg(F.max("score").alias("score"))  # an id may meet a query in several blocks
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
-    near = met.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).select("qid", "place", "vec_id", "score")
+    near = met.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).select("qid", "vec_id", "score")
     # to every query with that vector, without itself
-    back = searched.select("qid", "c", "c2").join(near, "qid").select("c", "c2", "place", "score", F.col("vec_id").alias("found"))
+    back = searched.select("qid", "c", "c2").join(near, "qid").select("c", "c2", "score", F.col("vec_id").alias("found"))
     each = wanted.select(F.col("vec_id").alias("query_id"), "c", "c2").distinct().join(back, ["c", "c2"]).filter("found <> query_id")
-    own = Window.partitionBy("query_id").orderBy("place")
+    each = each.groupBy("query_id", "found").agg(F.max("score").alias("score"))
+    own = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
     return each.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k).select("query_id", "rank", F.col("found").alias("vec_id"), "score")

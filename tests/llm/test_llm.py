@@ -419,6 +419,25 @@ def test_neighbours(spark):
     assert [(f.query_id, f.vec_id) for f in few] == [(0, 1), (0, 20), (20, 0), (20, 1)]
 
 
+def test_repeated_rows_take_one_place(spark):
+    r = np.random.default_rng(9)
+    x = r.standard_normal((60, 4))
+    x[0] *= 10
+    x[30:50] = x[0]
+    rows = [(k, v) for k, v in enumerate(x)] + [(0, x[0])] * 30 + [(5, x[5])] * 4 + [(20, v) for v in x[20] * r.uniform(1, 2, (25, 1))] + [(7, v) for v in x[20] * r.uniform(1, 2, (25, 1))]
+    out = ann.search(spark.createDataFrame([(k, v.tolist()) for k, v in rows], "vec_id long, embedding array<double>"), sample=2000).orderBy("query_id", "rank").collect()
+    for q in (0, 20, 40):
+        best = {}
+        for own in (v for k, v in rows if k == q):
+            for k, v in rows:
+                if k != q:
+                    best[k] = max(best.get(k, -1e9), float(own @ v))
+        got = [(o.vec_id, o.score) for o in out if o.query_id == q]
+        assert len(got) == 20 == len({k for k, _ in got}) and all(s == pytest.approx(best[k], abs=1e-12) for k, s in got)
+        assert len({k for k, _ in got} & set(sorted(best, key=lambda k: (-round(best[k], 9), k))[:20])) >= 18
+    assert {o.vec_id for o in out if o.query_id == 0 and o.score == pytest.approx(float(x[0] @ x[0]))} == set(range(30, 50))
+
+
 # 2
 
 

@@ -353,6 +353,17 @@ def test_host_boilerplate(spark):
     assert got[12].text == got[0].text and got[10].text.startswith("Welcome") and got[11].text == "" and got[11].n_chars == 0
 
 
+def test_groups_of_a_host_tell_each_other(spark, monkeypatch):
+    pages = [(k, "http://h.example/", f"<p>{'one two three four five six seven' if k < 2 else 'all the news of our site comes first here'}</p><p>Only page {k} {'x' * k} has this line and page {k} {'y' * k} alone") for k in range(12)]
+    pages += [(20, "http://h.example/", pages[3][2]), (21, "http://i.example/", "<p>copied whole and shared by nobody else</p>"), (22, "http://i.example/", "<p>copied whole and shared by nobody else</p>")]
+    docs = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    read = lambda: {r.page_id: (r.text, r.n_chars) for r in html_extract.extract(docs).collect()}
+    one = read()
+    assert all(one[k][0].startswith("Only page") for k in range(12)) and one[20] == one[3] and one[22][0].startswith("copied")
+    monkeypatch.setattr(html_extract, "GROUP_PAGES", 2)
+    assert read() == one
+
+
 # 3
 
 

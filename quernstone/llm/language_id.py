@@ -8,7 +8,7 @@ after training, so the cost of a byte depends on its ORDER + 1 bytes alone: text
 and rows of the table are filled as new byte strings appear. Texts are scored whole.
 
 Training takes a bounded sample: for each language the `per_language` training rows that come first by a hash of
-their text and id, among rows of at most `max_bytes` bytes. The model is bounded by that and is sent to executors.
+their text and id. Rows of more than `max_bytes` bytes come after all others, and give a stretch of max_bytes / 4 characters whose place the hash chooses. The model is bounded by that and is sent to executors.
 
 Nulls and ties: a null text or one without a letter is `und` with score 0, as is every text if nothing was learned.
 Rows with null lang, or lang `und`, are not learned from. A null doc_id is hashed as ''. Ties between languages go to the first by name.
@@ -144,17 +144,23 @@ class Model:
 
 
 def sample(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE, max_bytes: int = MAX_BYTES) -> dict[str, list[str]]:
-    """The training texts by language: at most per_language rows each, of at most max_bytes bytes."""
-    rows = docs.filter(training("doc_id", modulus, held_out) & F.col("lang").isNotNull() & (F.col("lang") != "und") & (F.octet_length("text") <= max_bytes) & F.col("text").rlike(r"\p{L}"))
-    rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h")
-    cut = rows.select("lang", "h").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).groupBy("lang").agg(F.max("h").alias("cut")).collect()
+    """The training texts by language: at most per_language rows each, of at most max_bytes bytes; longer rows give a stretch where shorter ones are too few."""
+    rows = docs.filter(training("doc_id", modulus, held_out) & F.col("lang").isNotNull() & (F.col("lang") != "und") & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"), (F.octet_length("text") > max_bytes).alias("long"))
+    order = Window.partitionBy("lang").orderBy("long", "h")
+    cut = rows.select("lang", "long", "h").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).groupBy("lang").agg(F.max(F.struct("long", "h")).alias("cut")).collect()
     # one row a language; equal hashes beyond the bound are repeated rows
     chosen = F.lit(False)
     for r in cut:
-        chosen = chosen | ((F.col("lang") == r.lang) & (F.col("h") <= r.cut))
+        upto = (F.col("h") <= r.cut.h) & F.col("long") if r.cut.long else (F.col("h") <= r.cut.h) & ~F.col("long")
+        chosen = chosen | ((F.col("lang") == r.lang) & (upto | ~F.col("long") if r.cut.long else upto))
+    size = max(1, max_bytes // 4)  # characters, so at most max_bytes bytes
+    # no stretch starts before the first letter
+    first = F.regexp_instr("text", F.lit(r"\p{L}"))
+    place = F.when(F.length("text") - size + 1 > first, F.pmod(F.col("h"), F.length("text") - size + 2 - first) + first).otherwise(first)
+    rows = rows.withColumn("text", F.when(F.col("long"), F.substring("text", place.cast("int"), F.lit(size))).otherwise(F.col("text")))
     out: dict[str, list[str]] = {}
-    for r in sorted(rows.filter(chosen).select("lang", "h", "text").distinct().collect(), key=lambda r: (r.lang, r.h, r.text)) if cut else []:
+    for r in sorted(rows.filter(chosen).select("lang", "long", "h", "text").distinct().collect(), key=lambda r: (r.lang, r.long, r.h, r.text)) if cut else []:
         if len(out.setdefault(r.lang, [])) < per_language:
             out[r.lang].append(r.text)
     return out

@@ -238,6 +238,18 @@ def test_language(spark):
     assert empty.lang_pred == "und"
 
 
+def test_language_of_long_rows_only(spark):
+    r = random.Random(4)
+    rows = [(k, " ".join(r.choice(["und", "der", "sch", "ein"]) for _ in range(20)), "de") for k in range(40)]
+    rows += [(100 + k, "é" * 3 + " ".join(r.choice(["et", "la", "les", "eau"]) for _ in range(400)), "fr") for k in range(8)] + [(200, " ".join(["der"] * 500), "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    some = language_id.sample(docs, per_language=5, max_bytes=400)
+    assert sorted(some) == ["de", "fr"] and len(some["fr"]) == 5 and all(len(t) == 100 and t in rows_ for t, rows_ in ((t, "\n".join(x for _, x, _ in rows)) for t in some["fr"]))
+    assert len(some["de"]) == 5 and all(t in {x for _, x, _ in rows[:40]} for t in some["de"])
+    got = {x.doc_id: x.lang_pred for x in language_id.identify(docs, per_language=5, max_bytes=400).collect()}
+    assert {got[100 + k] for k in range(8)} == {"fr"} and got[0] == "de"
+
+
 def test_code_lengths_are_exact():
     sample, text = ["abracadabra", "abrac"], "abrazo"
     seen = [("\n" * 2 + t).encode() for t in sample]

@@ -6,13 +6,13 @@ import ctypes
 import gc
 import re
 import tempfile
-import time
 import uuid
 import zlib
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +44,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, buckets: int, column: str) -> DataFrame:
+    """Like materialize, in buckets by a hash of a column: what meets the table by that column comes to it, and the table is not shuffled. The files are in the shared folder; the session's catalog has a name for them."""
+    name = f"quernstone_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).sortBy(column).format("parquet").option("compression", "uncompressed").option("path", f"{shared_dir(df.sparkSession)}/{name}").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Texts are long: unless the session says otherwise, Python workers get 1,000 rows or 16 MB at a time instead of 10,000 rows."""
     for key, default, ours in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", None, str(16 << 20))):
@@ -52,14 +59,6 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, ours)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
-    for _ in range(2):  # the cleaner works on what a collection finds, a moment later
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def total_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of a text column; one number to the driver."""
     return docs.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0
@@ -117,11 +116,12 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 KINDS = np.zeros(256, np.uint8)
 KINDS[[*range(65, 91), *range(97, 123)]] = 1
 KINDS[list(b".,;:!?")] = 2
-#: A number for each byte, and the base that tells places in a word apart; odd, so that it has an inverse.
-BYTES = np.random.default_rng(13).integers(0, 2**64, 256, np.uint64)
+#: The base that tells places in a run of words apart; odd, so that it has an inverse.
 BASE = 0x9E3779B97F4A7C15
 MIX = np.uint64(0xBF58476D1CE4E5B9)
-PIECE = 1 << 16
+PIECE, LONG = 1 << 16, 64
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 powers: dict[int, np.ndarray] = {}
 
 
@@ -130,6 +130,19 @@ def mix(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(29))
 
 
+def stirred(a: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers in which each bit depends on every one (the constants are the splitmix64 generator's)."""
+    a = a + np.uint64(0x9E3779B97F4A7C15)
+    a = (a ^ (a >> np.uint64(30))) * MIX
+    a = (a ^ (a >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return a ^ (a >> np.uint64(31))
+
+
+def delta(a: np.ndarray) -> np.ndarray:
+    """Differences of rising numbers; their cumulative sum gives them back."""
+    return np.diff(a, prepend=np.uint64(0))
+
+
 def power(base: int, n: int) -> np.ndarray:
     """base to the powers 0 to n - 1, modulo 2^64."""
     if base not in powers or len(powers[base]) < n:
@@ -169,20 +182,23 @@ class Words:
         self.places = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
         self.counts = np.diff(np.searchsorted(self.starts, self.places))
 
-    def hashes(self) -> np.ndarray:
-        """64-bit hashes: sums of byte numbers times powers of BASE, mixed with the length."""
-        out, w = np.empty(len(self.starts), np.uint64), 0
-        inverse = pow(BASE, -1, 2**64)
-        while w < len(out):
-            at = int(self.starts[w])
-            end = max(w + 1, int(np.searchsorted(self.ends, at + PIECE, "right")))
-            s, e = self.starts[w:end] - at, self.ends[w:end] - at
-            n = int(e[-1])
-            total = np.zeros(n + 1, np.uint64)
-            np.cumsum(BYTES[self.bytes[at : at + n]] * power(BASE, n), out=total[1:])
-            out[w:end] = (total[e] - total[s]) * power(inverse, n)[s] + (e - s).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
-            w = end
-        return mix(out)
+    def hashes(self, family: int = 0) -> np.ndarray:
+        """64-bit hashes of the words' bytes; each family is independent of the others. Eight bytes at a time are mixed in, many words at once; words of more than LONG bytes have an XXH3."""
+        lanes = np.ndarray((len(self.data) + 1,), "<u8", self.data + bytes(8), strides=(1,))
+        size, out = self.ends - self.starts, np.empty(len(self.starts), np.uint64)
+        for s in range(0, len(out), PIECE):
+            at, left = self.starts[s : s + PIECE], size[s : s + PIECE]
+            h = stirred(left.astype(np.uint64) + np.uint64(family << 32))
+            h = stirred(h ^ (lanes[at] & FIRST[np.minimum(left, 8)]))
+            k, live = 8, np.flatnonzero((left > 8) & (left <= LONG))
+            while len(live):
+                h[live] = stirred(h[live] ^ (lanes[at[live] + k] & FIRST[np.minimum(left[live] - k, 8)]))
+                k += 8
+                live = live[left[live] > k]
+            for w in np.flatnonzero(left > LONG).tolist():
+                h[w] = xxhash.xxh3_64_intdigest(self.data[at[w] : at[w] + left[w]], family)
+            out[s : s + PIECE] = h
+        return out
 
     def slices(self, first, last) -> list[bytes]:
         """The stretches from word first[k] up to word last[k], as they stand."""
@@ -191,27 +207,29 @@ class Words:
 
 
 class Memo:
-    """Ids of words, remembered by the word's hash. learn() gives those of new words: all ids one after another, and how many each word has."""
+    """Ids of words, remembered by the word's hash and checked by a second, independent one. learn() gives those of new words: all ids one after another, and how many each word has."""
 
     def __init__(self, learn, limit: int = 1_500_000, slots: int = 21):
-        self.learn, self.limit, self.bits = learn, limit, slots
+        self.learn, self.limit, self.bits, self.begun = learn, limit, slots, 0
         self.forget()
 
     def forget(self) -> None:
         """Known words by rising hash, with the place and number of their ids; and a table in which most of them are found at once by the first bits of the hash."""
+        self.begun += 1
         self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.first, self.length = np.zeros(self.limit, np.int32), np.zeros(self.limit, np.int32)
+        self.first, self.length, self.check = np.zeros(self.limit, np.int32), np.zeros(self.limit, np.int32), np.zeros(self.limit, np.uint64)
         self.ids, self.used, self.count = np.zeros(1 << 20, np.uint32), 0, 0
         self.slots, self.where = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
 
     def slot(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def add(self, hashes: np.ndarray, words: list[bytes]) -> None:
+    def add(self, hashes: np.ndarray, check: np.ndarray, words: list[bytes]) -> None:
         """Words not known yet, by rising hash."""
         ids, length = self.learn(words)
         number = np.arange(self.count, self.count + len(words), dtype=np.int32)
         self.first[number], self.length[number] = np.cumsum(length) - length + self.used, length
+        self.check[number] = check
         self.count += len(words)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -226,8 +244,22 @@ class Memo:
         if len(taken):  # two new words in one slot: the last one written has it, with its own number
             self.where[taken] = self.number[np.searchsorted(self.hashes, self.slots[taken])]
 
-    def look_up(self, hashes: np.ndarray, words) -> np.ndarray | None:
+    def look_up(self, hashes: np.ndarray, check: np.ndarray, words) -> np.ndarray | None:
         """Numbers of the words; words(places) gives those at some places. None if they are more than can be remembered."""
+        number, begun = self.found(hashes, check, words), self.begun
+        if number is not None:
+            other = np.flatnonzero(self.check[number] != check)
+            if len(other):  # another word with this hash came first: these go by a number made of both hashes
+                more = self.look_up(mix(hashes[other] + check[other]), check[other], lambda at: words(other[at]))
+                if more is None:
+                    return None
+                if self.begun != begun:  # the memory was emptied in between
+                    return self.look_up(hashes, check, words)
+                number[other] = more
+        return number
+
+    def found(self, hashes: np.ndarray, check: np.ndarray, words) -> np.ndarray | None:
+        """Numbers by hash alone; new words are learned."""
         slot = self.slot(hashes)
         number = np.where(self.slots[slot] == hashes, self.where[slot], -1)
         rest = np.flatnonzero(number < 0)
@@ -239,9 +271,9 @@ class Memo:
                 if not self.count:
                     return None
                 self.forget()  # start again with an empty memory
-                return self.look_up(hashes, words)
+                return self.found(hashes, check, words)
             if new.any():
-                self.add(distinct[new], words(rest[one[new]]))
+                self.add(distinct[new], check[rest[one[new]]], words(rest[one[new]]))
                 at = np.searchsorted(self.hashes, distinct)
             number[rest] = self.number[at][back]
         return number

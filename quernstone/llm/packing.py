@@ -87,7 +87,7 @@ class Encoder:
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         # the special words are told apart before letters are lowered
         words = Words([t and (t if b"<|" in t else t.lower()) for t in texts], stops=True)
-        number = self.memo.look_up(words.hashes(), lambda at: words.slices(at, at))
+        number = self.memo.look_up(words.hashes(), words.hashes(1), lambda at: words.slices(at, at))
         if number is None:
             return [x for t in texts for x in self.encode_long(t)]
         ids, total = self.memo.gather(number)

@@ -153,7 +153,7 @@ class Model:
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Ids of normalised texts (spaces for marks), as little-endian unsigned 32-bit numbers."""
         words = Segments(texts)
-        number = self.memo.look_up(words.hashes(), lambda at: words.slices(at, at))
+        number = self.memo.look_up(words.hashes(), words.hashes(1), lambda at: words.slices(at, at))
         if number is None:  # more distinct stretches than are remembered
             return [b"".join(self.segment(w) for w in WORD.findall(t.decode().replace(" ", MARK))) for t in texts]
         ids, total = self.memo.gather(number)

@@ -3,7 +3,8 @@
 Super-k-mer partitioning. A window's minimiser is the least hash among its runs of MINIMISER words; equal windows have equal minimisers. Documents are dealt into groups of about GROUP bytes by a hash.
 1. Windows that stand twice in a group are settled there. Each group sends the hashes of its minimisers, once each, to their shards, and learns which of them other groups have too.
 2. Consecutive windows that share such a minimiser travel as one packed string of words to the minimiser's bucket: the group's smallest doc_id alone sends a window that several of its documents have, so a passage shared by any number of documents comes once a group.
-3. In a bucket, windows are sorted (by a 64-bit hash of their words, and told apart by a second, independent one), and each set of equal windows is left to its smallest doc_id. The word ranges that go return to their group.
+3. In a bucket, windows are sorted (by a 64-bit hash of their words' hashes, and told apart by one of a second, independent family of word hashes), and each set of equal windows is left to its smallest doc_id. The word ranges that go return to their group.
+How pieces travel between groups, shards and buckets, and how many, is in `exchange`.
 
 Nulls and ties: a null text has no words. A null doc_id counts as larger than any other. Rows with one doc_id never remove each other's words; repeated rows get the same result each.
 Texts shorter than a window lose nothing. Columns besides doc_id and text are kept by `deduplicate` and not read by `digest`.
@@ -20,9 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BASE, NULL_ID, SPACE, Words, bounded_batches, enter, parts, rolled, total_bytes, utf8
+from . import exchange
+from .common import BASE, NULL_ID, SPACE, Words, bounded_batches, delta, enter, parts, rolled, total_bytes, utf8
+from .exchange import WIDTH, Exchange
+
+WINDOW, MINIMISER = 13, 8
+#: Bytes of text in a group, and for which there is one shard of minimisers and one bucket.
+GROUP, SHARD = 8 << 20, 16 << 20
 
-WINDOW, MINIMISER, GROUP = 13, 8, 8 << 20
 
 def sliding_min(a: np.ndarray, size: int) -> np.ndarray:
     out, span = a, 1
@@ -31,14 +37,14 @@ def sliding_min(a: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(out[: len(out) - (size - span)], out[size - span :]) if size > span else out
 
 
-def classes(tokens: np.ndarray, begin: np.ndarray, owner: np.ndarray, window: int) -> np.ndarray:
-    """For each window (from tokens[begin]), the smallest owner among the windows with the same tokens. Windows are sorted by one hash and told apart by a second, independent one."""
+def classes(tokens: np.ndarray, others: np.ndarray, begin: np.ndarray, owner: np.ndarray, window: int) -> np.ndarray:
+    """For each window (from tokens[begin]), the smallest owner among the windows with the same words. tokens and others are two independent families of word hashes: windows are sorted by a hash of the one and told apart by a hash of the other."""
     hashes = rolled(tokens, window)[begin]
     order = np.argsort(hashes)
     h, o = hashes[order], owner[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
-    check = rolled(tokens, window, BASE + 2)[begin[order]]
+    check = rolled(others, window, BASE + 2)[begin[order]]
     if np.any(~new[1:] & (check[1:] != check[:-1])):
         again = np.lexsort((check, h))
         order, h, o, check = order[again], h[again], o[again], check[again]
@@ -82,7 +88,8 @@ class Group:
         table[(twice >> np.uint64(44)).astype(np.int64)] = True
         some = np.flatnonzero(table[(hashes >> np.uint64(44)).astype(np.int64)])
         owner = self.ids[self.begin[some]]
-        gone[some] = classes(self.hashes, self.begin[some], owner, self.window) != owner
+        if len(some):
+            gone[some] = classes(self.hashes, self.words.hashes(1), self.begin[some], owner, self.window) != owner
         return gone
 
     def by_shard(self, shards: int):
@@ -122,6 +129,8 @@ def spans(begin: np.ndarray, window: int) -> np.ndarray:
 
 def repeated(blobs: list[bytes], window: int) -> list[np.ndarray]:
     """For each group's blob of a bucket, the spans of windows whose words also start in a smaller id."""
+    if not blobs:
+        return []
     bodies, first, number, ids, sizes = [], [], [], [], []
     for blob in blobs:
         data = zstandard.decompress(blob)
@@ -131,13 +140,13 @@ def repeated(blobs: list[bytes], window: int) -> list[np.ndarray]:
         for a, x in zip((first, number, ids), head, strict=True):
             a.append(x)
         sizes.append(int(head[1].sum()))
-    tokens, number = Words(bodies).hashes(), np.concatenate(number)
+    words, number = Words(bodies), np.concatenate(number)
     length = number + window - 1
     which = np.repeat(np.arange(len(number)), number)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(number) - number, number)
     begin = (np.cumsum(length) - length)[which] + nth
     owner = np.concatenate(ids)[which]
-    small = classes(tokens, begin, owner, window)
+    small = classes(words.hashes(), words.hashes(1), begin, owner, window)
     place = np.concatenate(first)[which] + nth
     out, at = [], 0
     for n in sizes:
@@ -146,87 +155,66 @@ def repeated(blobs: list[bytes], window: int) -> list[np.ndarray]:
     return out
 
 
-def in_runs(batches, column: str, settle):
-    """settle(value, rows) for each run of rows with one value in a column they are sorted by; rows are (g, blob)."""
-    last, held = None, []
-    for b in batches:
-        for s, *row in zip(*(b.column(k).to_pylist() for k in (column, "g", "blob")), strict=True):
-            if s != last and held:
-                yield from settle(last, held)
-                held = []
-            last = s
-            held.append(row)
-    if held:
-        yield from settle(last, held)
-
-
 def swept(docs: DataFrame, finish, schema, window: int = WINDOW, size: int = MINIMISER) -> DataFrame:
     """finish(table, group, gone) for each group: gone tells for each word whether it goes."""
     bounded_batches(docs.sparkSession)
-    n = parts(docs.sparkSession, total_bytes(docs), GROUP)
+    nbytes = total_bytes(docs)
+    groups, shards = parts(docs.sparkSession, nbytes, GROUP), int(nbytes / SHARD) + 1
+    between = Exchange(groups, shards, groups, WIDTH)
     text = F.col("text").cast("string")
-    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("g", F.pmod(F.xxhash64("doc_id", text), F.lit(n)).cast("int"))
-    sent = "shard int, g int, blob binary"
-
-    def table(items):
-        items = list(items)
-        return pa.table({"shard": pa.array([x[0] for x in items], pa.int32()), "g": pa.array([x[1] for x in items], pa.int32()), "blob": pa.array([x[2] for x in items], pa.binary())})
+    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).withColumn("g", F.pmod(F.xxhash64("doc_id", text), F.lit(groups)))
 
     def ask(key, docs_):
         enter("substring")
         group = Group(docs_, window, size)
         group.windows()
-        return table((s, key[0].as_py(), m.tobytes()) for s, m in group.by_shard(n))
-
-    def shared(batches):
-        def settle(shard, asked):
-            all_ = [np.frombuffer(x, np.uint64) for _, x in asked]
-            ordered = np.sort(np.concatenate(all_))
-            both = ordered[1:][ordered[1:] == ordered[:-1]]
-            for (g, _), a in zip(asked, all_, strict=True):
-                at = np.minimum(np.searchsorted(both, a), max(0, len(both) - 1))
-                own = a[both[at] == a] if len(both) else a[:0]
-                if len(own):
-                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([g], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["shard", "g", "blob"])
-
-        return in_runs(batches, "shard", settle)
+        return exchange.table(between.sent(key[0].as_py(), ((s, delta(m).tobytes()) for s, m in group.by_shard(shards))))
+
+    def shared(shard, asked):
+        all_ = [np.cumsum(np.frombuffer(x, np.uint64), dtype=np.uint64) for _, x in asked]
+        ordered = np.sort(np.concatenate(all_))
+        both = ordered[1:][ordered[1:] == ordered[:-1]]
+        for (g, _), a in zip(asked, all_, strict=True):
+            at = np.minimum(np.searchsorted(both, a), max(0, len(both) - 1))
+            own = a[both[at] == a] if len(both) else a[:0]
+            if len(own):
+                yield g, own.tobytes()
 
     def send(key, docs_, answers):
         enter("substring")
         group, g = Group(docs_, window, size), key[0].as_py()
         group.windows()
         settled = group.settle()
-        known = np.sort(np.frombuffer(b"".join(answers.column("blob").to_pylist()), np.uint64))
+        known = np.sort(np.frombuffer(b"".join(between.received(answers).values()), np.uint64))
         at = np.minimum(np.searchsorted(known, group.minimiser), max(0, len(known) - 1))
         alive = ~settled & (known[at] == group.minimiser) if len(known) else np.zeros(len(settled), bool)
-        # what the group settled itself goes along, dealt over the buckets as numbers below 0
-        own = spans(group.begin[settled], window)
-        return table([*((s, g, b) for s, b in group.super_kmers(alive, n)), *([(-1 - g % n, g, own.tobytes())] if len(own) else [])])
-
-    def settle_buckets(batches):
-        def settle(bucket, got):
-            found = repeated([b for _, b in got], window) if bucket >= 0 else [np.frombuffer(b, np.int64) for _, b in got]
-            for (g, _), x in zip(got, found, strict=True):
-                if x.size:
-                    yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([np.ascontiguousarray(x).tobytes()], pa.binary())], ["g", "blob"])
-
-        return in_runs(batches, "shard", settle)
+        # what the group settled itself goes along, by the bucket of its number
+        own, sent = spans(group.begin[settled], window).tobytes(), dict(group.super_kmers(alive, shards))
+        return exchange.table(between.sent(g, ((s, exchange.frame([(0, sent.get(s, b"")), (1, own if s == g % shards else b"")])) for s in {*sent, g % shards})))
+
+    def settle(bucket, got):
+        both = [(g, *(x for _, x in exchange.unframe(blob))) for g, blob in got]
+        found = repeated([b for _, b, _ in both if b], window)
+        for g, blob, own in both:
+            ranges = (found.pop(0).tobytes() if blob else b"") + own
+            if ranges:
+                yield g, ranges
 
     def remove(key, docs_, ranges):
         enter("substring")
         group = Group(docs_, window, size)
         gone = np.zeros(int(group.sizes.sum()) + 1, np.int64)
-        at = np.frombuffer(b"".join(ranges.column("blob").to_pylist()), np.int64).reshape(-1, 2)
+        at = np.frombuffer(b"".join(between.received(ranges).values()), np.int64).reshape(-1, 2)
         np.add.at(gone, at[:, 0], 1)
         np.add.at(gone, at.sum(axis=1), -1)
         return finish(docs_, group, np.cumsum(gone)[:-1] > 0)
 
     rows = rows.select(*docs.columns, "_id", "g")
     slim = rows if set(docs.columns) == {"doc_id", "text"} else rows.select("doc_id", "text", "_id", "g")
-    asked = slim.groupBy("g").applyInArrow(ask, sent)
-    answers = asked.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(shared, sent)
-    strings = slim.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(send, sent)
-    ranges = strings.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(settle_buckets, "g int, blob binary")
+    asked = slim.groupBy("g").applyInArrow(ask, exchange.ROWS)
+    answers = between.back(between.at_shards(asked, shared))
+    strings = slim.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(send, exchange.ROWS)
+    ranges = between.back(between.at_shards(strings, settle))
     return rows.groupBy("g").cogroup(ranges.groupBy("g")).applyInArrow(remove, schema)
 
 

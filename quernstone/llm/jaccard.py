@@ -1,8 +1,8 @@
 """Near-duplicates by word shingles: pairs of texts whose sets of WORDS-word shingles have a Jaccard similarity of NEAR or more.
 
 Candidates share all ROWS minimum hashes of one of BANDS bands: a pair at similarity 0.8 is missed with probability (1 - 0.8^5)^24 = 7e-5, one at 0.85 with 8e-7. Each candidate is checked exactly on both sets.
-Texts with equal sets are one class. In a bucket each class is checked against the least one; then those of a bucket that are still in different components are checked with each other, so that a bucket is not quadratic
-in classes that are alike. Words are those of the fingerprints (ASCII lower case, split at white space), told apart by 64-bit hashes; a text of fewer words is one shingle.
+Texts with equal sets are one class. In a bucket each class is checked against the least one. Classes of buckets that still hold more than one component are then told partners by prefix filtering: with shingles in order of
+rarity among these classes, a pair at the similarity shares one of the first fifth of each set, at places that leave room for enough others; that misses no pair, and what many texts share ranks last. Words are those of the fingerprints (ASCII lower case, split at white space), told apart by 64-bit hashes; a text of fewer words is one shingle.
 
 Nulls and ties: a null text counts as empty; all texts without words are one class.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, Words, bounded_batches, enter, materialize, parts, rolled, total_bytes, utf8
@@ -21,6 +21,8 @@ from .simhash import components, links, simhash
 WORDS, BANDS, ROWS = 5, 24, 5
 #: Similarity as a fraction, 4 / 5.
 NEAR = (4, 5)
+#: Rows of one shingle that meet as a block.
+BLOCK = 2048
 #: Odd factors and terms of the hashes that minima are taken of.
 FACTORS, TERMS = np.random.default_rng(5).integers(0, 2**64, (2, BANDS * ROWS), np.uint64)
 FACTORS |= np.uint64(1)
@@ -113,22 +115,86 @@ def stars(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, a long, b long")
 
 
+def prefixes(texts: DataFrame, n: int) -> DataFrame:
+    """s, c, size, at: of each class (c, text) the shingles that a partner may be told by. Shingles are put in one order for all, the rare ones first; two sets of similarity NEAR or more share one of the first
+    size - NEAR size + 1 in that order. `at` is the place in the order; shingles that no other class has are left out, but counted."""
+
+    def run(batches):
+        enter("jaccard")
+        for b in batches:
+            sets = shingles(utf8(b.column("text")))
+            size = [len(x) for x in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("c").to_numpy(), size)), pa.array(np.repeat(np.array(size, np.int64), size)), pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], ["c", "size", "s"])
+
+    every = materialize(texts.repartition(n, "c").mapInArrow(run, "c long, size long, s long"))
+    shared = every.groupBy("s").agg(F.count("*").alias("often")).filter("often > 1")
+    held = every.join(shared, "s").withColumn("alone", F.col("size") - F.count("*").over(Window.partitionBy("c")))
+    held = held.withColumn("at", F.col("alone") + F.row_number().over(Window.partitionBy("c").orderBy("often", "s")))
+    return held.filter(F.col("at") <= F.col("size") - F.ceil(F.col("size") * NEAR[0] / NEAR[1]) + 1).select("s", "c", "size", "at")
+
+
+def partners(rows: DataFrame, n: int, block: int = BLOCK) -> DataFrame:
+    """Pairs a, b of classes that share a shingle of their prefixes (rows: s, c, size, at, root) where sizes and places leave room for similarity NEAR, of different roots. A shingle's rows meet in blocks, and only such pairs leave a task."""
+    sizes = rows.groupBy("s").agg(F.count("*").alias("rows")).filter("rows > 1").select("s", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
+    both = rows.join(sizes, "s").withColumn("own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    # block i meets block j at (i, j), i <= j; with one block there is one such place
+    both = both.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    both = both.select("s", "i", "j", (F.col("own") == F.col("j")).alias("second"), (F.col("own") == F.col("i")).alias("first"), "c", "size", "at", "root")
+
+    def run(batches):
+        enter("jaccard")
+        names = ["s", "i", "j", "first", "second", "c", "size", "at", "root"]
+        held: list[np.ndarray] = []
+
+        def pairs(rows):
+            x, y = rows[rows[:, 3] == 1], rows[rows[:, 4] == 1]
+            out = []
+            for c, size, at, root in x[:, 5:].tolist():
+                room = np.minimum(size - at, y[:, 6] - y[:, 7]) + 1
+                fits = (room * (NEAR[0] + NEAR[1]) >= NEAR[0] * (size + y[:, 6])) & (y[:, 8] != root) & (y[:, 5] != c)
+                if fits.any():
+                    other = y[fits, 5]
+                    out.append(np.column_stack([np.minimum(other, c), np.maximum(other, c)]))
+            return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+
+        def done():
+            rows = np.concatenate(held)
+            held.clear()
+            found = pairs(rows)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+        for b in batches:
+            rows = np.column_stack([b.column(k).cast(pa.int64()).to_numpy(zero_copy_only=False) for k in names])
+            if not len(rows):
+                continue
+            starts = np.flatnonzero(np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
+            for k, (at, end) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True)):
+                if held and (k or (held[-1][-1, :3] != rows[0, :3]).any()):
+                    yield done()
+                held.append(rows[at:end])
+        if held:
+            yield done()
+
+    return both.repartition(n, "s", "i", "j").sortWithinPartitions("s", "i", "j").mapInArrow(run, "a long, b long").distinct()
+
+
 def similar(each: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     """Edges a, b between classes that connect just what the alike pairs among candidates connect."""
-    keyed = each.select(F.explode("keys").alias("key"), "c").repartition(n, "key").sortWithinPartitions("key", "c")
+    one = materialize(each.filter(F.size("keys") > 0).groupBy("c").agg(F.min(F.struct("_id", "_row", "keys")).alias("x")).select("c", "x.*"))
+    keyed = one.select(F.explode("keys").alias("key"), "c").repartition(n, "key").sortWithinPartitions("key", "c")
     buckets = materialize(stars(keyed))
     pairs = materialize(buckets.select("a", "b").distinct())
-    one = each.join(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "c", "left_semi").groupBy("c").agg(F.min(F.struct("_id", "_row")).alias("x")).select("c", "x.*")
-    texts = materialize(rows.join(one, ["_id", "_row"]).dropDuplicates(["c"]).select("c", "text"))
+    some = one.join(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "c", "left_semi").select("c", "_id", "_row")
+    texts = materialize(rows.join(some, ["_id", "_row"]).select("c", "text").dropDuplicates(["c"]))
     found = materialize(checked(pairs, texts, n))
-    # in buckets with more than one component left, every pair of different components that has not been checked
+    # in buckets with more than one component left, pairs of different components that may be alike
     roots = materialize(components(found))
     named = buckets.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-    named = named.select("key", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
-    # roots are in no edge to a lesser node, so a root itself is named by its own number
-    left = materialize(named.join(named.groupBy("key").agg(F.min("rb").alias("x"), F.max("rb").alias("y")).filter("x <> y").select("key"), "key", "left_semi").select("key", "b", "rb"))
-    other = left.select("key", F.col("b").alias("c"), F.col("rb").alias("rc"))
-    more = materialize(left.join(other, "key").filter("rb <> rc and b < c").select(F.col("b").alias("a"), F.col("c").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
+    named = named.select("key", F.explode(F.array(F.struct(F.col("a").alias("c"), F.coalesce("ra", "a").alias("root")), F.struct(F.col("b").alias("c"), F.coalesce("rb", "b").alias("root")))).alias("x")).select("key", "x.*").distinct()
+    open_ = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.countDistinct("c").alias("n")).filter("x <> y and n > 2").select("key")
+    left = materialize(named.join(open_, "key", "left_semi").select("c", "root").distinct())
+    held = prefixes(texts.join(left.select("c"), "c", "left_semi"), n).join(left, "c").select("s", "c", "size", "at", "root")
+    more = materialize(partners(materialize(held), n).join(pairs, ["a", "b"], "left_anti"))
     return found.unionByName(checked(more, texts, n))
 
 

@@ -109,41 +109,64 @@ def bucketed(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
     def run(batches):
         enter("simhash")
         tables, step = Tables(radius), np.uint64(radius)
-        held: list[np.ndarray] = [np.empty((0, 3), np.int64)]
+
+        def large(path: int, n: int) -> bool:
+            return n > bucket and tables.mask(path).bit_count() < BITS - 9
+
+        def dealt(rows: np.ndarray):
+            """Rows of one bucket, for each table over the bits left."""
+            path, fps = int(rows[0, 0]), np.ascontiguousarray(rows[:, 2]).view(np.uint64)
+            return [np.column_stack([np.ones(len(fps), np.int64), np.full(len(fps), p), (fps & np.uint64(tables.mask(p))).view(np.int64), fps.view(np.int64), np.zeros(len(fps), np.int64)]) for p in tables.below(path)]
 
         def work(rows: np.ndarray):
+            """Whole buckets."""
             starts = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
             sizes = np.diff(np.r_[starts, len(rows)])
-            fps, out = rows[:, 2].view(np.uint64) if rows.flags.f_contiguous else np.ascontiguousarray(rows[:, 2]).view(np.uint64), []
+            fps, out = np.ascontiguousarray(rows[:, 2]).view(np.uint64), []
             two = starts[sizes == 2]
             near = two[np.bitwise_count(fps[two] ^ fps[two + 1]) <= step]
-            found = [np.column_stack([np.zeros((len(near), 1), np.int64), np.zeros((len(near), 2), np.int64), fps[near].view(np.int64), fps[near + 1].view(np.int64)])]
+            found = [np.column_stack([np.zeros((len(near), 3), np.int64), fps[near].view(np.int64), fps[near + 1].view(np.int64)])]
             for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-                if n > bucket and tables.mask(int(rows[s, 0])).bit_count() < BITS - 9:
-                    for path in tables.below(int(rows[s, 0])):
-                        m = np.uint64(tables.mask(path))
-                        here = fps[s : s + n]
-                        found.append(np.column_stack([np.ones(n, np.int64), np.full(n, path), (here & m).view(np.int64), here.view(np.int64), np.zeros(n, np.int64)]))
+                if large(int(rows[s, 0]), n):
+                    found += dealt(rows[s : s + n])
                 else:
                     out += stars(fps[s : s + n], radius)
             if out:
                 e = np.array(out, np.uint64).view(np.int64)
                 found.append(np.column_stack([np.zeros((len(e), 3), np.int64), e]))
-            all_ = np.concatenate(found)
-            if len(all_):
-                yield pa.RecordBatch.from_arrays([pa.array(all_[:, 0] == 1), *(pa.array(np.ascontiguousarray(all_[:, k])) for k in range(1, 5))], ["deep", "path", "key", "a", "b"])
+            return found
+
+        def record(found):
+            all_ = np.concatenate([np.empty((0, 5), np.int64), *found])
+            return pa.RecordBatch.from_arrays([pa.array(all_[:, 0] == 1), *(pa.array(np.ascontiguousarray(all_[:, k])) for k in range(1, 5))], ["deep", "path", "key", "a", "b"])
 
+        count, deep = 0, False
+        held: list[np.ndarray] = []  # of the bucket that the last batch ended in; once it is large, its rows are dealt on as they come
         for batch in batches:
             rows = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in ("path", "key", "fp")])
-            rows = np.concatenate([*held, rows])
             if not len(rows):
                 continue
-            last = len(rows) - np.argmax((rows[::-1, :2] != rows[-1, :2]).any(axis=1)) if (rows[:, :2] != rows[-1, :2]).any() else 0
-            if last:
-                yield from work(rows[:last])
-            held = [rows[last:]]
-        if len(held[0]):
-            yield from work(held[0])
+            found, change = [], np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
+            first = 0
+            if held and (held[0][0, :2] == rows[0, :2]).all():
+                first = int(change[0]) if len(change) else len(rows)
+                held.append(rows[:first])
+                count += first
+            if held and (deep or large(int(held[0][0, 0]), count)):
+                fresh = held[1:] if deep else held
+                if fresh:
+                    found += dealt(np.concatenate(fresh))
+                held, deep = held[:1], True  # the first rows stay to know the bucket by
+            if first < len(rows):
+                if held and not deep:
+                    found += work(np.concatenate(held))
+                last = max(first, int(change[-1]) if len(change) else 0)
+                if last > first:
+                    found += work(rows[first:last])
+                held, count, deep = [rows[last:]], len(rows) - last, False
+            yield record(found)
+        if held and not deep:
+            yield record(work(np.concatenate(held)))
 
     return rows.mapInArrow(run, "deep boolean, path long, key long, a long, b long")
 
@@ -199,5 +222,6 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, radius: int
     linked = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp").unionByName(classes.join(roots.select(F.col("root").alias("fp")).distinct(), "fp").withColumn("root", F.col("fp")))
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     moved = linked.join(named, "root").select("fp", "component_id")
-    ids = classes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    # written down, so that the last join reads both its sides from their shuffles and a fingerprint with any share of the rows can be split there
+    ids = materialize(classes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
     return each.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "row")

@@ -572,6 +572,29 @@ def plain_shingles(t, words=5):
     return {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
 
 
+@pytest.mark.parametrize("block", [7, 2048])
+def test_prefixes_miss_no_partner(spark, block):
+    from quernstone.llm import jaccard
+
+    r = random.Random(4)
+    base = [f"w{k}" for k in range(90)]
+    rows = []
+    for c in range(80):
+        t = list(base[: r.choice([60, 75, 90])])
+        for _ in range(r.randint(0, 6)):
+            t[r.randrange(len(t))] = "x" + str(r.randrange(30))
+        rows.append((c, " ".join(t)))
+    texts_ = spark.createDataFrame(rows, "c long, text string")
+    sets = {c: set(x.tolist()) for (c, _), x in zip(rows, jaccard.shingles([t.encode() for _, t in rows]), strict=True)}
+    held = jaccard.prefixes(texts_, 3).withColumn("root", F.col("c") % 5).join(jaccard.signatures(texts_), "c")
+    got = {(x.a, x.b) for x in jaccard.partners(held, 3, False, block).collect()}
+    likely = {(x.a, x.b) for x in jaccard.partners(held, 3, True, block).collect()}
+    assert likely < got and len(likely) <= held.count()
+    want = {(a, b) for a in sets for b in sets if a < b and a % 5 != b % 5 and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert want and want <= got and all(a < b and a % 5 != b % 5 for a, b in got)
+    assert len(got) < len(rows) * (len(rows) - 1) // 3
+
+
 def test_pipeline_reaches_similarity(spark):
     import corpus_pipeline as p
 

@@ -27,6 +27,8 @@ from .common import bounded_batches, enter, training
 ORDER = 4
 #: The bound of the training sample.
 PER_LANGUAGE, MAX_BYTES = 256, 65_536
+#: Parts of a language whose training rows are ranked apart before they are ranked together.
+SHARES = 256
 #: Bytes scored at once, and slots of the table of known costs.
 PIECE, SLOTS = 1 << 19, 1 << 20
 
@@ -147,8 +149,11 @@ def sample(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_language: i
     """The training texts by language: at most per_language rows each, of at most max_bytes bytes; longer rows give a stretch where shorter ones are too few."""
     rows = docs.filter(training("doc_id", modulus, held_out) & F.col("lang").isNotNull() & (F.col("lang") != "und") & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"), (F.octet_length("text") > max_bytes).alias("long"))
-    order = Window.partitionBy("lang").orderBy("long", "h")
-    cut = rows.select("lang", "long", "h").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).groupBy("lang").agg(F.max(F.struct("long", "h")).alias("cut")).collect()
+    # first in shares of a language, so that no task is given rows of every other task
+    ranked = rows.select("lang", "long", "h", F.pmod("h", F.lit(SHARES)).alias("share"))
+    for by in (["lang", "share"], ["lang"]):
+        ranked = ranked.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("long", "h"))).filter(F.col("k") <= per_language).drop("k")
+    cut = ranked.groupBy("lang").agg(F.max(F.struct("long", "h")).alias("cut")).collect()
     # one row a language; equal hashes beyond the bound are repeated rows
     chosen = F.lit(False)
     for r in cut:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .fixed import CANONICAL_UNITS, NULL_TOKENS, NUMBER, UNIT_FACTORS, UNIT_LADDER
@@ -73,6 +73,18 @@ def parse(raw, default_unit=None, detect: bool = True, ranges: bool = True, seve
     return let(cleaned(raw), lambda shown: let(number_text(shown), lambda text: reading(shown, text, default, detect, ranges, several, legacy_range_units)))
 
 
+def with_readings(rows: DataFrame, wanted: dict[str, tuple[Column, Column | None, dict]]) -> DataFrame:
+    """rows with a column of readings for each name -> (text, default unit, options of parse). Each distinct pair of text and unit is read once and joined back, null or not: reading costs far more than the shuffle of a short text."""
+    # always true, but not known to be: a filter on readings is then not moved below `distinct`, where it would read every row
+    once = F.monotonically_increasing_id() >= 0
+    for name, (raw, unit, options) in wanted.items():
+        unit = F.lit(None).cast("string") if unit is None else unit
+        keyed = rows.withColumns({"_text": raw, "_unit": unit})
+        read = keyed.select("_text", "_unit").filter("_text is not null").distinct().select(F.col("_text").alias("_t"), F.col("_unit").alias("_u"), F.when(once, parse("_text", F.col("_unit"), **options)).alias(name))
+        rows = keyed.join(read, (F.col("_text") == F.col("_t")) & F.col("_unit").eqNullSafe(F.col("_u")), "left").drop("_text", "_unit", "_t", "_u")
+    return rows
+
+
 def reading(shown, text, default, detect, ranges, several, legacy) -> Column:
     number = lambda c: c.try_cast("double")
     tidy = lambda c: F.round(c, 10)

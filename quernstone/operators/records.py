@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import NULL_TOKENS
-from ..functions.numeric import cleaned, detect_unit, let, parse
+from ..functions.numeric import cleaned, detect_unit, let, with_readings
 from ..functions.text import compact, dedupe_text, endpoint_text
 
 
@@ -117,8 +117,9 @@ def flagged(records: DataFrame, fields: list[str], config: PostConfig) -> DataFr
         unit = F.lit(c.get("unit")).cast("string")
         if c.get("unit_from_field"):
             unit = F.coalesce(detect_unit(F.col(f"_b_{c['unit_from_field']}")) if c["unit_from_field"] in fields else detect_unit(cleaned(c["unit_from_field"], nulls)), unit)
-        norms[f"{f}_norm"] = parse(F.col(f"_b_{f}"), unit, c.get("detect_unit", True), c.get("parse_ranges", True), c.get("allow_multiple_numbers", False), config.legacy_range_units)
-    rows = rows.withColumn("n_standardized", sum(changed, F.lit(0))).withColumns(values).withColumns(norms)
+        options = {"detect": c.get("detect_unit", True), "ranges": c.get("parse_ranges", True), "several": c.get("allow_multiple_numbers", False), "legacy_range_units": config.legacy_range_units}
+        norms[f"{f}_norm"] = (F.col(f"_b_{f}"), unit, options)
+    rows = with_readings(rows, norms).withColumn("n_standardized", sum(changed, F.lit(0))).withColumns(values)
     whole = {n: F.col(n).withField("value", F.bround(F.col(f"{n}.value"))) for f, c in config.numeric.items() if c.get("integer") and (n := f"{f}_norm") in norms}
     rows = rows.withColumns(whole).drop(*(f"_b_{f}" for f in fields))
     there = lambda f: (F.coalesce(F.trim(F.col(f)), F.lit("")) != "") | (F.col(f"{f}_norm").isNotNull() if f"{f}_norm" in norms else F.lit(False))

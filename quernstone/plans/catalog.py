@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import conversion, parse
+from ..functions.numeric import conversion, with_readings
 from ..functions.text import paragraph_chunks, search_text, section_text, sentences, token_estimate
 from ..operators import context, identity, records, retrieve, screening, summaries
 from ..sources import html_meta
@@ -70,15 +70,16 @@ def table_header_rank(spark, d):
     return retrieve.table_rank(pooled(spark, d).filter("chunk_type = 'table'"), A.FIELDS).select("paper_id", "field", "chunk_id", "score", F.col("rank").cast("long").alias("rank"))
 
 
-NEAR = "near AS (SELECT e.label AS paper_id, q.field, e.vec_id AS chunk_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS distance FROM embeddings e, (SELECT 'q' || vec_id AS field, embedding FROM embeddings WHERE vec_id IN (0, 7)) q)"
-SEMANTIC = "semantic AS (SELECT paper_id, field, chunk_id, distance, row_number() OVER (PARTITION BY paper_id, field ORDER BY raw) - 1 AS rank FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, field ORDER BY distance, chunk_id) - 1 AS raw FROM near) WHERE raw < 20 AND chunk_id % 3 <> 0)"
+NEAR = "near AS (SELECT e.label AS paper_id, q.field, e.vec_id AS chunk_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS distance FROM embeddings e, (SELECT 'q' || label AS field, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label) q)"
+SEMANTIC = "semantic AS (SELECT paper_id, field, chunk_id, distance, row_number() OVER (PARTITION BY paper_id, field ORDER BY raw) - 1 AS rank FROM (SELECT *, row_number() OVER (PARTITION BY paper_id, field ORDER BY distance, chunk_id) - 1 AS raw FROM near) WHERE raw < 20 AND paper_id <= CAST(substr(field, 2) AS INTEGER))"
 
 
 def semantic(spark, d) -> DataFrame:
-    """Vectors of a label as a paper's chunks; those divisible by 3 are outside the pool. Two queries, by id."""
+    """Vectors of a label as a paper's chunks; the first vector of each label is a query, whose pool is the papers up to its own."""
     vectors = A.table(spark, d, "embeddings").select(F.col("label").alias("paper_id"), F.col("vec_id").alias("chunk_id"), "embedding")
-    asked = A.table(spark, d, "embeddings").filter(F.col("vec_id").isin(0, 7)).select(F.concat(F.lit("q"), F.col("vec_id").cast("string")).alias("field"), F.col("embedding").alias("query"))
-    allowed = vectors.select("paper_id", "chunk_id").filter("chunk_id % 3 <> 0").crossJoin(F.broadcast(asked.select("field")))
+    asked = vectors.groupBy("paper_id").agg(F.min_by("embedding", "chunk_id").alias("query"))  # a row a label
+    allowed = vectors.select("paper_id", "chunk_id").join(F.broadcast(asked.select(F.col("paper_id").alias("up_to"))), F.col("paper_id") <= F.col("up_to"))
+    asked, allowed = asked.select(F.concat(F.lit("q"), F.col("paper_id").cast("string")).alias("field"), "query"), allowed.select("paper_id", "chunk_id", F.concat(F.lit("q"), F.col("up_to").cast("string")).alias("field"))
     return retrieve.semantic_rank(vectors, asked, 10, allowed)
 
 
@@ -88,7 +89,7 @@ def semantic_rank_filtered(spark, d):
 
 
 FUSE = """signals AS (SELECT paper_id, field, chunk_id, 'semantic' AS source, 0 AS list_ord, rank FROM semantic WHERE rank < 10 UNION ALL
-  SELECT label, 'q0', vec_id, 'regex', 1, row_number() OVER (PARTITION BY label ORDER BY vec_id % 11 DESC, vec_id) - 1 AS r FROM embeddings WHERE vec_id % 2 = 0 QUALIFY r < 10),
+  SELECT label, 'q0', vec_id, 'regex', 1, row_number() OVER (PARTITION BY label ORDER BY vec_id % 11 DESC, vec_id) - 1 AS r FROM embeddings QUALIFY r < 10),
 fused AS (SELECT paper_id, field, chunk_id, sum(1.0 / (60 + rank + 1)) AS s, min(list_ord * 1000 + rank) AS first, string_agg(source, ';' ORDER BY list_ord) AS sources FROM signals GROUP BY ALL)"""
 
 
@@ -96,7 +97,7 @@ fused AS (SELECT paper_id, field, chunk_id, sum(1.0 / (60 + rank + 1)) AS s, min
 def rrf_fusion(spark, d):
     one = semantic(spark, d).select("paper_id", "field", "chunk_id", F.lit("semantic").alias("source"), F.lit(0).alias("list_ord"), "rank")
     w = Window.partitionBy("label").orderBy(F.desc(F.col("vec_id") % 11), "vec_id")
-    two = A.table(spark, d, "embeddings").filter("vec_id % 2 = 0").withColumn("rank", F.row_number().over(w) - 1).filter("rank < 10")
+    two = A.table(spark, d, "embeddings").withColumn("rank", F.row_number().over(w) - 1).filter("rank < 10")
     two = two.select(F.col("label").alias("paper_id"), F.lit("q0").alias("field"), F.col("vec_id").alias("chunk_id"), F.lit("regex").alias("source"), F.lit(1).alias("list_ord"), "rank")
     out = retrieve.fuse(one.unionByName(two), ["paper_id", "field"], 5)
     return out.select("paper_id", "field", "chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("sources", ";").alias("sources"), F.col("hybrid_rank").cast("long").alias("hybrid_rank"))
@@ -176,13 +177,13 @@ def dedupe_cleanup(spark, d):
     return records.clean_records(A.records(spark, d).select("paper_id", "record_type", "endpoint", "_pos"), ["record_type", "endpoint"])
 
 
-@query("SELECT paper_id, _pos, printf('%s::r%04d', paper_id, row_number() OVER (PARTITION BY paper_id ORDER BY _pos)) AS record_id FROM records WHERE size % 2 = 0", A.RECORDS)
+@query("SELECT paper_id, _pos, printf('%s::r%04d', paper_id, row_number() OVER (PARTITION BY paper_id ORDER BY _pos)) AS record_id FROM records", A.RECORDS)
 def record_numbering(spark, d):
-    return records.number_records(A.records(spark, d).filter("size % 2 = 0")).select("paper_id", "_pos", "record_id")
+    return records.number_records(A.records(spark, d)).select("paper_id", "_pos", "record_id")
 
 
-CONSTRAINT = records.EndpointConstraint({"Standard_TIN": ["Brand#11", "Brand#12"], "promo steel": ["Brand#21", "Brand#22"], "ECONOMY BRASS": ["Brand#11"]}, {"Brand#12": ["Brand#13", "brand 13"], "Brand#21": ["Brand#31"]})
-RESOLVED = """allowed(t, e) AS (VALUES ('standard tin', 'brand#11'), ('standard tin', 'brand#12'), ('promo steel', 'brand#21'), ('promo steel', 'brand#22'), ('economy brass', 'brand#11')), alias(a, c) AS (VALUES ('brand#13', 'brand#12'), ('brand#31', 'brand#21')),
+CONSTRAINT = records.EndpointConstraint({"Standard": ["Brand#11", "Brand#12"], " promo": ["Brand#21", "Brand#22"], "ECONOMY": ["Brand#11"]}, {"Brand#12": ["Brand#13", "brand 13"], "Brand#21": ["Brand#24"]})
+RESOLVED = """allowed(t, e) AS (VALUES ('standard', 'brand#11'), ('standard', 'brand#12'), ('promo', 'brand#21'), ('promo', 'brand#22'), ('economy', 'brand#11')), alias(a, c) AS (VALUES ('brand#13', 'brand#12'), ('brand#24', 'brand#21')),
 resolved AS (SELECT r.*, coalesce(x.e, y.e) AS found FROM records r LEFT JOIN allowed x ON lower(record_type) = x.t AND lower(endpoint) = x.e LEFT JOIN alias ON lower(endpoint) = a LEFT JOIN allowed y ON lower(record_type) = y.t AND c = y.e)"""
 
 
@@ -205,7 +206,8 @@ norms AS (SELECT value, record_id, paper_id, _pos, chunk, record_type, endpoint,
 
 @query("SELECT record_id, operator, round(v, 6) AS v, round(lo, 6) AS lo, round(hi, 6) AS hi, round(CAST(err AS DOUBLE), 6) AS err, unit FROM norms WHERE operator IS NOT NULL", A.RECORDS, NUMBERS)
 def numeric_parse(spark, d):
-    rows = A.records(spark, d).select("record_id", parse("value", F.when(F.col("_pos").isin(2, 3), "MPa").otherwise(F.lit(None).cast("string"))).alias("n")).filter("n is not null")
+    unit = F.when(F.col("_pos").isin(2, 3), "MPa").otherwise(F.lit(None).cast("string"))
+    rows = with_readings(A.records(spark, d).select("record_id", "value", "_pos"), {"n": (F.col("value"), unit, {})}).filter("n is not null")
     six = lambda c: F.round(c, 6)
     return rows.select("record_id", "n.operator", six("n.value").alias("v"), six("n.value_min").alias("lo"), six("n.value_max").alias("hi"), six("n.error").alias("err"), "n.unit")
 
@@ -229,7 +231,7 @@ def standardize_terms(spark, d):
     return A.table(spark, d, "part").select("p_partkey", records.standard_terms("p_type", TERMS).alias("term"))
 
 
-POST = records.PostConfig(numeric={"value": {"unit": None}}, standardize={"record_type": {"terms": {"tin": ["STANDARD TIN", "PROMO TIN"]}, "match": "exact"}}, required_any=["value"])
+POST = records.PostConfig(numeric={"value": {"unit": None}}, standardize={"record_type": {"terms": {"usual": ["STANDARD", "PROMO"]}, "match": "exact"}}, required_any=["value"])
 POST_FIELDS = ["value", "record_type"]
 
 
@@ -237,7 +239,7 @@ def post_rows(spark, d) -> DataFrame:
     return A.records(spark, d).select("paper_id", "record_id", "value", "record_type", "source_chunk_ids", "_pos")
 
 
-TIN = "CASE WHEN lower(record_type) IN ('standard tin', 'promo tin', 'tin') THEN 'tin' ELSE lower(record_type) END"
+TIN = "CASE WHEN lower(record_type) IN ('standard', 'promo', 'usual') THEN 'usual' ELSE lower(record_type) END"
 
 
 @query("SELECT record_id FROM records WHERE value <> 'not reported'", A.RECORDS)
@@ -250,16 +252,16 @@ def postprocess_dedupe_merge(spark, d):
     return records.postprocess(post_rows(spark, d), POST_FIELDS, POST).select("paper_id", "record_id", F.array_join("source_chunk_ids", ";").alias("source_chunk_ids"))
 
 
-@query(f"SELECT count(*) AS records_input, count(*) FILTER (value <> 'not reported') AS records_after_validation, count(DISTINCT CASE WHEN value <> 'not reported' THEN paper_id || '|' || lower(value) || '|' || {TIN} END) AS records_output, count(*) FILTER (value = 'not reported') AS invalid_removed, CAST(0 AS BIGINT) AS invalid_numeric_removed, count(*) FILTER (value <> 'not reported' AND value NOT LIKE 'grade%') AS numeric_values_parsed FROM records", A.RECORDS)
+@query(f"SELECT count(*) AS records_input, count(*) FILTER (value <> 'not reported') AS records_after_validation, count(DISTINCT CASE WHEN value <> 'not reported' THEN paper_id || '|' || lower(value) || '|' || {TIN} END) AS records_output, count(*) FILTER (value = 'not reported') AS invalid_removed, CAST(0 AS BIGINT) AS invalid_numeric_removed, count(*) FILTER (value <> 'not reported' AND value NOT LIKE 'grade%') AS numeric_values_parsed, count(*) FILTER (record_type IN ('STANDARD', 'PROMO')) AS standardized_values, count(*) FILTER (value <> 'not reported') - count(DISTINCT CASE WHEN value <> 'not reported' THEN paper_id || '|' || lower(value) || '|' || {TIN} END) AS duplicates_removed FROM records", A.RECORDS)
 def postprocess_summary(spark, d):
-    return records.postprocess_summary(post_rows(spark, d), POST_FIELDS, POST).drop("standardized_values", "duplicates_removed")
+    return records.postprocess_summary(post_rows(spark, d), POST_FIELDS, POST)
 
 
-@query("SELECT paper_id, record_id, value, endpoint, CASE WHEN operator IS NULL THEN '' ELSE operator END AS value_operator, coalesce(CASE WHEN value LIKE '%GPa' THEN 'GPa' ELSE unit END, '') AS value_unit, chunk AS source_chunk_ids FROM norms WHERE value <> 'not reported'", A.RECORDS, NUMBERS)
+@query(f"SELECT paper_id, record_id, value, endpoint, CASE WHEN operator IS NULL THEN '' ELSE operator END AS value_operator, coalesce(CASE WHEN value LIKE '%GPa' THEN 'GPa' ELSE unit END, '') AS value_unit, {", ".join(f"coalesce(CAST(round(CAST({x} AS DOUBLE), 6) AS VARCHAR), '') AS value_{y}" for x, y in (("CASE WHEN operator IS NULL THEN NULL WHEN value LIKE '%GPa' THEN v / 1000 ELSE v END", "value"), ("lo", "value_min"), ("hi", "value_max"), ("CASE WHEN value LIKE '%GPa' THEN err / 1000 ELSE err END", "error")))}, chunk AS source_chunk_ids FROM norms WHERE value <> 'not reported'", A.RECORDS, NUMBERS)
 def records_csv_projection(spark, d):
     rows = A.records(spark, d).select("paper_id", "record_id", "value", "endpoint", "source_chunk_ids", "_pos")
     flat = records.csv_rows(records.flagged(rows, ["value", "endpoint"], POST).filter("not invalid"), ["value", "endpoint"], ["value"])
-    return flat.select("paper_id", "record_id", "value", "endpoint", "value_operator", "value_unit", "source_chunk_ids")
+    return flat.select("paper_id", "record_id", "value", "endpoint", "value_operator", "value_unit", "value_value", "value_value_min", "value_value_max", "value_error", "source_chunk_ids")
 
 
 KEYED = "keyed AS (SELECT *, coalesce('doi:' || nullif(lower(doi), ''), 'pmid:' || nullif(pmid, ''), 'wos_uid:' || nullif(lower(wos_uid), ''), 'title:' || lower(title)) AS k, row_number() OVER (PARTITION BY coalesce('doi:' || nullif(lower(doi), ''), 'pmid:' || nullif(pmid, ''), 'wos_uid:' || nullif(lower(wos_uid), ''), 'title:' || lower(title)) ORDER BY _pos) AS n FROM cands)"
@@ -295,16 +297,19 @@ def pending_limit(spark, d):
     return identity.limited(identity.pending(rows, rows.filter("_pos % 10 = 0")), 25).select("_pos")
 
 
-@query("SELECT DISTINCT user_id AS paper_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type IN ('purchase', 'view'))")
+@query("SELECT user_id AS paper_id FROM events GROUP BY user_id HAVING max_by(event_type, event_id) NOT IN ('purchase', 'view')")
 def status_antijoin(spark, d):
-    events = A.table(spark, d, "events").select(F.col("user_id").alias("paper_id"), F.when(F.col("event_type") == "purchase", "ok").when(F.col("event_type") == "view", "skipped:no_context").otherwise("failed:TimeoutError").alias("status"))
+    """The last event of each user as the status of its paper."""
+    last = A.table(spark, d, "events").groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("event_type"))
+    events = last.select(F.col("user_id").alias("paper_id"), F.when(F.col("event_type") == "purchase", "ok").when(F.col("event_type") == "view", "skipped:no_context").otherwise("failed:TimeoutError").alias("status"))
     return identity.unfinished(events.select("paper_id").distinct(), events)
 
 
-@query("SELECT user_id AS paper_id, event_id, value FROM events WHERE event_id % 2 = 0 AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 5 = 1) UNION ALL SELECT user_id, event_id, value FROM events WHERE event_id % 5 = 1")
+@query("SELECT o_custkey AS paper_id, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') UNION ALL SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
 def replace_by_key(spark, d):
-    events = A.table(spark, d, "events").select(F.col("user_id").alias("paper_id"), "event_id", "value")
-    return identity.replace_by_key(events.filter("event_id % 2 = 0"), events.filter("event_id % 5 = 1"))
+    """Orders in progress replace all settled ones of their customer."""
+    orders = A.table(spark, d, "orders").select(F.col("o_custkey").alias("paper_id"), "o_orderkey", "o_totalprice", "o_orderstatus")
+    return identity.replace_by_key(orders.filter("o_orderstatus <> 'P'").drop("o_orderstatus"), orders.filter("o_orderstatus = 'P'").drop("o_orderstatus"))
 
 
 CRITERIA = [screening.Criterion("quality", uncertain_policy="reject"), screening.Criterion("toxic", uncertain_policy="pass"), screening.Criterion("extra", required=False)]

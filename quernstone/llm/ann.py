@@ -4,8 +4,8 @@ Trees are grown on a bounded sample (SAMPLE vectors, those first by a hash of th
 A query searches all trees through one priority queue: the root of each tree enters it, the node with the best bound leaves, and its two children enter with the lesser of that bound and the signed distance to the plane. It stops
 after the number of leaves found to reach TARGET recall on the sample (measured there by brute force, on CALIBRATED queries).
 
-Rows and queries meet in leaves as blocks of at most BLOCK rows and BLOCK queries; a row that several trees offer is scored in the first tree only (queries carry the set of leaves they visit, rows their leaf in each tree).
-Candidates are scored exactly, in double precision on the original vectors; those below the k + 1 best among the sample's vectors in the same leaves (they are candidates too) cannot be among its answers and are not sent on.
+Rows and queries meet in leaves as blocks of at most BLOCK rows and BLOCK queries; a row that several trees offer is scored in each, which costs less than carrying the set of leaves along, and counts once.
+Candidates are scored exactly, in double precision on the original vectors (sums do not depend on the order of their terms, so equal vectors have equal scores wherever they are scored); those below the k + 1 best among BOUNDING of the sample's vectors in the same leaves (they are candidates too) cannot be among its answers and are not sent on.
 
 Repeated ids: answers are distinct ids, each once with its best score over its rows, and an id is never its own answer. Rows with one id and vector are one from the start; ids, not rows, fill the places that are kept.
 Equal vectors: a query's answers can only hold the k + 1 smallest ids of each distinct vector, so that many are indexed and the rest cannot change a result; queries with equal vectors are searched once.
@@ -15,6 +15,7 @@ Null, zero and non-finite vectors, null ids, and vectors of another length than
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialize
 
-TREES, SAMPLE, LEAF_ROWS, LEAF_SAMPLE = 6, 20_000, 512, 8
-TARGET, CALIBRATED, BLOCK = 0.97, 200, 4096
+TREES, SAMPLE, LEAF_ROWS, LEAF_SAMPLE = 6, 50_000, 512, 4
+TARGET, CALIBRATED, BLOCK, BOUNDING = 0.96, 200, 4096, 16_384
 
 
 class Tree:
@@ -82,17 +83,18 @@ class Forest:
         lifted = self.lift(x)
         return np.column_stack([t.place(lifted) + b for t, b in zip(self.trees, self.base, strict=False)])
 
-    def bound(self, q: np.ndarray, visited: list[int], k: int) -> float:
-        """A score that the k best found reach: the k-th best of the sample's vectors in the leaves visited, less what rounding may take."""
+    def bounds(self, qs: np.ndarray, visited: list[list[int]], k: int) -> list[float]:
+        """For each query a score that the k best found reach: the k-th best of BOUNDING of the sample's vectors, of those in the leaves visited, less what rounding may take."""
         if self.placed is None:
-            self.placed = self.place(self.points)
-        mask = np.zeros(int(self.base[-1]), bool)
-        mask[visited] = True
-        some = self.points[mask[self.placed].any(axis=1)]
-        if len(some) < k:
-            return -np.inf
-        best = np.partition(some @ q, len(some) - k)[len(some) - k]
-        return float(best - 1e-9 * (1 + abs(best)))
+            self.placed = self.place(self.points[:BOUNDING])
+        out = []
+        for scores, leaves in zip(qs @ self.points[:BOUNDING].T, visited, strict=True):
+            mask = np.zeros(int(self.base[-1]), bool)
+            mask[leaves] = True
+            some = scores[mask[self.placed].any(axis=1)]
+            best = np.partition(some, len(some) - k)[len(some) - k] if len(some) >= k else -np.inf
+            out.append(float(best - 1e-9 * (1 + abs(best))))
+        return out
 
     def visit(self, q: np.ndarray, visits: int) -> list[int]:
         """Leaves for one query, best first, through one queue for all trees."""
@@ -112,20 +114,20 @@ class Forest:
         return out
 
     def calibrate(self, points: np.ndarray, k: int) -> None:
-        """The number of leaves that reaches TARGET recall on the sample."""
+        """The number of leaves that reaches TARGET recall on the sample, a query itself not counted."""
         total = int(self.base[-1])
-        asked = points[:: max(1, len(points) // CALIBRATED)]
-        leaves, orders = self.place(points), [self.visit(q, total) for q in asked]
-        need = []
-        for q, order in zip(asked, orders, strict=True):
-            best = np.argsort(-(points @ q), kind="stable")[:k]
+        leaves, need = self.place(points), []
+        for i in range(0, len(points), max(1, len(points) // CALIBRATED)):
+            scores = points @ points[i]
+            scores[i] = -np.inf
+            best = np.argsort(-scores, kind="stable")[: min(k, len(points) - 1)]
             position = np.empty(total, np.int64)
-            position[order] = np.arange(total)
+            position[self.visit(points[i], total)] = np.arange(total)
             need.append(np.sort(position[leaves[best]].min(axis=1)))
         low, high = 1, total
         while low < high:
             mid = (low + high) // 2
-            recall = np.mean([(x < mid).mean() for x in need])
+            recall = np.mean([(x < mid).mean() if len(x) else 1.0 for x in need])
             low, high = (low, mid) if recall >= TARGET else (mid + 1, high)
         self.visits = low
 
@@ -151,8 +153,11 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
     count, top = index.agg(F.count("*"), F.max(norm)).first()
     # one row an id, so that the k best of the sample are k ids
-    chosen = list({r.vec_id: r.x for r in index.select("x", "vec_id", "c", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id", "c").limit(sample).collect()}.values())
-    points = np.array(chosen, np.float64) if chosen else np.zeros((0, 1))
+    chosen = index.select("x", "vec_id", "c", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id", "c").limit(sample).select("vec_id", "x").toArrow()
+    points = np.zeros((0, 1))
+    if chosen.num_rows:
+        last = chosen.num_rows - 1 - np.unique(chosen.column("vec_id").to_numpy()[::-1], return_index=True)[1]
+        points = chosen.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(chosen.num_rows, -1)[np.sort(last)]
     leaf = max(LEAF_SAMPLE, int(len(points) * LEAF_ROWS / max(count, 1)))
     forest = Forest(points, leaf, top or 0.0, trees)
     if len(points):
@@ -166,13 +171,14 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
         for b in batches:
             x = vectors(b.column("x"))
             leaves = shared.value.place(x)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(leaves.tolist(), pa.list_(pa.int32()))], ["vec_id", "x", "leaves"])
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(list(leaves.astype(np.int32)), pa.list_(pa.int32()))], ["vec_id", "x", "leaves"])
 
     def visit(batches):
         f = shared.value
         for b in batches:
-            visited = [f.visit(q, f.visits) for q in vectors(b.column("x"))]
-            yield pa.RecordBatch.from_arrays([b.column("qid"), pa.array([r.tobytes() for r in vectors(b.column("x"))], pa.binary()), pa.array(visited, pa.list_(pa.int32())), pa.array([f.bound(q, v, k + 1) for q, v in zip(vectors(b.column("x")), visited, strict=True)])], ["qid", "x", "leaves", "bound"])
+            qs = vectors(b.column("x"))
+            visited = [f.visit(q, f.visits) for q in qs]
+            yield pa.RecordBatch.from_arrays([b.column("qid"), pa.array([r.tobytes() for r in qs], pa.binary()), pa.array(visited, pa.list_(pa.int32())), pa.array(f.bounds(qs, visited, k + 1), pa.float64())], ["qid", "x", "leaves", "bound"])
 
     # one search for each distinct vector among the queries, under the least of their ids
     wanted = rows.filter(F.col("vec_id") % every == 0).select("vec_id", "x", *same)
@@ -181,52 +187,46 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, sa
     # tasks by the work there is: placing is quick, a visit is a walk through the forest
     placed = materialize(index.select("vec_id", "x").repartition(count // 2048 + 1).mapInArrow(place, "vec_id long, x binary, leaves array<int>"))
     asking = materialize(searched.select("qid", "x").repartition(count // (64 * every) + 1).mapInArrow(visit, "qid long, x binary, leaves array<int>, bound double"))
-    # blocks of each leaf; a row a leaf, bounded by the sample
-    row_blocks = {r.leaf: r.n // BLOCK + 1 for r in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    query_blocks = {r.leaf: r.n // BLOCK + 1 for r in asking.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-
-    def blocks(sizes):
-        many = {a: b for a, b in sizes.items() if b > 1}
-        if not many:
-            return F.lit(1)
-        return F.coalesce(F.create_map(*(F.lit(v) for p in many.items() for v in p))[F.col("leaf")], F.lit(1))
+    # blocks of each leaf: a row a leaf, of which there are at most trees * sample / LEAF_SAMPLE
+    def sizes(rows, name):
+        return rows.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
 
-    left = placed.select("vec_id", "x", "leaves", F.explode("leaves").alias("leaf"))
-    left = left.withColumn("rb", F.pmod(F.xxhash64("vec_id"), blocks(row_blocks)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), blocks(query_blocks) - 1)))
-    right = asking.select("qid", "x", "leaves", "bound", F.explode("leaves").alias("leaf"))
-    right = right.withColumn("qb", F.pmod(F.xxhash64("qid"), blocks(query_blocks)).cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0), blocks(row_blocks) - 1)))
+    blocks = F.broadcast(sizes(placed, "row_blocks").join(sizes(asking, "query_blocks"), "leaf"))
+    left = placed.select("vec_id", "x", F.explode("leaves").alias("leaf")).join(blocks, "leaf")
+    left = left.withColumn("rb", F.pmod(F.xxhash64("vec_id"), F.col("row_blocks")).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1))).drop("row_blocks", "query_blocks")
+    right = asking.select("qid", "x", "bound", F.explode("leaves").alias("leaf")).join(blocks, "leaf")
+    right = right.withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("query_blocks")).cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1))).drop("row_blocks", "query_blocks")
 
     def meet(key, rows_, queries):
         ids, scores, asked = [], [], []
         if rows_.num_rows and queries.num_rows:
-            rows_, queries, base = rows_.combine_chunks(), queries.combine_chunks(), shared.value.base
+            rows_, queries = rows_.combine_chunks(), queries.combine_chunks()
             x = np.frombuffer(b"".join(rows_.column("x").to_pylist())).reshape(rows_.num_rows, -1)
             vec = rows_.column("vec_id").to_numpy()
-            by_id = np.argsort(vec, kind="stable")
-            x, vec = x[by_id], vec[by_id]
-            leaves = np.array(rows_.column("leaves").to_pylist())[by_id]
-            repeated = len(vec) > 1 and bool((vec[1:] == vec[:-1]).any())
-            tree = int(np.searchsorted(base, key[0].as_py(), "right")) - 1
+            repeated = len(np.unique(vec)) < len(vec)
             for s in range(0, queries.num_rows, 256):
                 part = queries.slice(s, 256)
                 q = np.frombuffer(b"".join(part.column("x").to_pylist())).reshape(part.num_rows, -1)
-                dots = q @ x.T
-                for i, (qid, seen, bound) in enumerate(zip(*(part.column(c).to_pylist() for c in ("qid", "leaves", "bound")), strict=True)):
-                    visited = np.zeros(int(base[-1]), bool)
-                    visited[seen] = True
-                    mine = np.flatnonzero(dots[i] >= bound)
-                    mine = mine[~visited[leaves[mine, :tree]].any(axis=1)]
-                    if repeated:  # the best row of each id
-                        mine = mine[np.argsort(-dots[i, mine], kind="stable")]
-                        mine = np.sort(mine[np.unique(vec[mine], return_index=True)[1]])
-                    if len(mine) > k + 1:
-                        d = dots[i, mine]
+                dots, qids = q @ x.T, part.column("qid").to_numpy()
+                of, mine = np.nonzero(dots >= part.column("bound").to_numpy()[:, None])
+                some = dots[of, mine]
+                if repeated:  # the best row of each id
+                    order = np.lexsort((-some, vec[mine], of))
+                    new = np.r_[True, (np.diff(of[order]) != 0) | (np.diff(vec[mine[order]]) != 0)][: len(order)]
+                    of, mine, some = of[order][new], mine[order][new], some[order][new]
+                many = np.flatnonzero(np.bincount(of, minlength=len(qids)) > k + 1)
+                if len(many):  # those that cannot be among the k + 1 best of the block go
+                    start = np.searchsorted(of, np.arange(len(qids) + 1))
+                    stay = np.ones(len(of), bool)
+                    for i in many.tolist():
+                        d = some[start[i] : start[i + 1]]
                         cut = np.partition(d, len(d) - k - 1)[len(d) - k - 1]
-                        mine = mine[d >= cut]
-                        mine = mine[np.argsort(-dots[i, mine], kind="stable")[: k + 1]]
-                    ids.append(vec[mine])
-                    scores.append(dots[i, mine])
-                    asked.append(np.full(len(mine), qid))
+                        stay[start[i] : start[i + 1]] = d >= cut - 1e-9 * (1 + abs(cut))
+                    of, mine = of[stay], mine[stay]
+                ids.append(vec[mine])
+                asked.append(qids[of])
+                # a matrix product rounds by the shape of the block: scores that count are summed again, whatever the order of the terms
+                scores.append(np.array([math.fsum(terms) for k in range(0, len(of), 4096) for terms in (x[mine[k : k + 4096]] * q[of[k : k + 4096]]).tolist()], np.float64))
         join = lambda a, kind: np.concatenate(a) if a else np.zeros(0, kind)
         return pa.table({"qid": join(asked, np.int64), "vec_id": join(ids, np.int64), "score": join(scores, np.float64)})
 

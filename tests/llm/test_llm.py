@@ -403,6 +403,23 @@ def test_html():
     assert html_extract.blocks("<p>it's <a href=x title=it's>a</a> b") == (["it's a b"], False)
 
 
+def test_cards_do_not_hide_the_main_text():
+    blocks = html_extract.blocks
+    assert blocks("<main><p>One.</p><article><p>Card.</p></article><p>Two.</p></main>") == (["Card."], True)
+    cards = "<article><h2>Card</h2></article><article>Other</article>"
+    assert blocks(f"<nav>menu</nav><main><p>One.</p>{cards}<p>Two.</p></main><footer>end</footer>") == (["One.", "Card", "Other", "Two."], True)
+    assert blocks(f"<p>before</p>{cards}") == (["Card", "Other"], True)
+    assert blocks("<article><p>Text</p><article class=comment>me too</article></article>") == (["Text"], True)
+    assert blocks("<article><header><h1>Title</h1></header><p>Text</p><section><article><p>Inner</p></article></section></article>") == (["Title", "Text", "Inner"], True)
+
+
+def test_extraction_keeps_repeated_rows_and_ignores_other_columns(spark):
+    long = " ".join(f"word{k}" for k in range(60_000))
+    rows = [(1, "http://h/a", f"<article><p>{long}</p></article>", "x", 9), (1, "http://h/a", f"<article><p>{long}</p></article>", "x", 9), (2, None, None, "y", 8), (3, "http://h/b", "", "z", 7)]
+    out = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, g int")).collect()
+    assert sorted((r.page_id, r.n_chars, r.text == long) for r in out) == [(1, len(long), True), (1, len(long), True), (2, 0, False), (3, 0, False)]
+
+
 def test_host_boilerplate(spark):
     site = "<div><p>Welcome to our site where all the news is first</p></div>"
     pages = [(k, f"http://h.example/{k}", f"<body>{site}<p>Story number {k} tells of things seen only here {'x' * k} and nowhere else</p><p>All rights to this text are with the site owner</p>") for k in range(6)]

@@ -140,7 +140,7 @@ class Exchange:
             sub = F.pmod(F.xxhash64("g"), F.lit(self.subs)).cast("int")
             sent = sent.withColumn("sub", sub).withColumnRenamed("shard", "bucket").withColumn("shard", F.col("bucket"))
             sent = sent.repartition(self.partitions, "bucket", "sub").sortWithinPartitions("bucket", "sub").mapInArrow(turn, ROWS)
-        return sent.repartition(self.partitions, "shard").sortWithinPartitions("shard").mapInArrow(work, ROWS)
+        return sent.repartitionById(min(self.partitions, self.shards), F.pmod("shard", F.lit(min(self.partitions, self.shards)))).sortWithinPartitions("shard").mapInArrow(work, ROWS)
 
     def back(self, answers: DataFrame) -> DataFrame:
         """Answers as rows for their groups (those of nobody left out)."""

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, enter, training
@@ -27,8 +27,6 @@ from .common import bounded_batches, enter, training
 ORDER = 4
 #: The bound of the training sample.
 PER_LANGUAGE, MAX_BYTES = 256, 65_536
-#: Parts of a language whose training rows are ranked apart before they are ranked together.
-SHARES = 256
 #: Bytes scored at once, and slots of the table of known costs.
 PIECE, SLOTS = 1 << 19, 1 << 20
 
@@ -149,16 +147,31 @@ def sample(docs: DataFrame, modulus: int = 4, held_out: int = 2, per_language: i
     """The training texts by language: at most per_language rows each, of at most max_bytes bytes; longer rows give a stretch where shorter ones are too few."""
     rows = docs.filter(training("doc_id", modulus, held_out) & F.col("lang").isNotNull() & (F.col("lang") != "und") & F.col("text").rlike(r"\p{L}"))
     rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"), (F.octet_length("text") > max_bytes).alias("long"))
-    # first in shares of a language, so that no task is given rows of every other task
-    ranked = rows.select("lang", "long", "h", F.pmod("h", F.lit(SHARES)).alias("share"))
-    for by in (["lang", "share"], ["lang"]):
-        ranked = ranked.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("long", "h"))).filter(F.col("k") <= per_language).drop("k")
-    cut = ranked.groupBy("lang").agg(F.max(F.struct("long", "h")).alias("cut")).collect()
+    # the least hashes of each language, without sorting it: as many as a share of the range of hashes should hold, and more of it where repeated rows leave too few
+    sizes = {(r.lang, r.long): r["count"] for r in rows.groupBy("lang", "long").count().collect()}
+    upto = {k: -(2**63) + min(2**64 - 1, 2**64 * 4 * per_language // n) for k, n in sizes.items()}
+    least: dict[tuple[str, bool], list[int]] = {}
+    while open_ := {k: x for k, x in upto.items() if k not in least}:
+        inside = F.lit(False)
+        for (lang, long), x in open_.items():
+            inside = inside | ((F.col("lang") == lang) & (F.col("long") == long) & (F.col("h") <= x))
+        found: dict[tuple[str, bool], list[int]] = {k: [] for k in open_}
+        for r in rows.filter(inside).select("lang", "long", "h").distinct().collect():  # some thousand numbers a language
+            found[r.lang, r.long].append(r.h)
+        for k, hs in found.items():
+            if len(hs) >= per_language or upto[k] == 2**63 - 1:
+                least[k] = sorted(hs)[:per_language]
+            else:
+                upto[k] = -(2**63) + min(2**64 - 1, 16 * (upto[k] + 2**63 + 1))
+    cut = []
+    for lang in sorted({lang for lang, _ in sizes}):
+        some = [(long, h) for long in (False, True) for h in least.get((lang, long), ())][:per_language]
+        cut.append((lang, *some[-1]))
     # one row a language; equal hashes beyond the bound are repeated rows
     chosen = F.lit(False)
-    for r in cut:
-        upto = (F.col("h") <= r.cut.h) & F.col("long") if r.cut.long else (F.col("h") <= r.cut.h) & ~F.col("long")
-        chosen = chosen | ((F.col("lang") == r.lang) & (upto | ~F.col("long") if r.cut.long else upto))
+    for lang, long, h in cut:
+        last = (F.col("h") <= h) & (F.col("long") == long)
+        chosen = chosen | ((F.col("lang") == lang) & (last | ~F.col("long") if long else last))
     size = max(1, max_bytes // 4)  # characters, so at most max_bytes bytes
     # no stretch starts before the first letter
     first = F.regexp_instr("text", F.lit(r"\p{L}"))

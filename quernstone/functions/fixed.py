@@ -64,13 +64,16 @@ VALUE_WITH_UNIT = (
 )
 RESULT_SECTIONS, OTHER_SECTIONS = "result", ["method", "materials", "introduction", "discussion"]
 POTENCY_TERMS = r"\b(?:IC|GI|EC)\s*(?:50|90)\b"
+CUE_WORDS = r"\b(?:significant|significantly|increased|decreased|reduced|inhibited|compared)\b"
 
 # fixed values: weights of fields when a record is traced to its chunks, words that say nothing there, texts that are no value
 SOURCE_WEIGHTS = {
     "value": 8.0, "statistics": 4.0, "endpoint": 3.0, "compound_or_treatment": 3.0, "comparator_or_control": 2.5, "dose": 2.5, "duration": 2.5,
     "model_or_population": 2.0, "assay_or_study_type": 1.5, "sample_size": 1.5, "unit": 1.0, "route": 1.0,
 }
-STOP_WORDS = "and the with without group groups patient patients cell cells mouse mice model models study therapy treatment cancer pdac pancreatic".split()
+STOP_WORDS = [
+    "and", "the", "with", "without", "group", "groups", "patient", "patients", "cell", "cells", "mouse", "mice", "model", "models", "study", "therapy", "treatment", "cancer", "pdac", "pancreatic",
+]
 NO_VALUE = ["none", "null", "not stated", "not reported"]
 
 # fixed values: limits

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fixed import CONTEXT_CHARS, ENDPOINT_TERMS, NUMERIC_CHUNKS, OTHER_SECTIONS, POTENCY_TERMS, RESULT_SECTIONS, SOURCE_CHUNKS, SOURCE_WEIGHTS, VALUE_WITH_UNIT
+from ..functions.fixed import CONTEXT_CHARS, CUE_WORDS, ENDPOINT_TERMS, NUMERIC_CHUNKS, OTHER_SECTIONS, POTENCY_TERMS, RESULT_SECTIONS, SOURCE_CHUNKS, SOURCE_WEIGHTS, VALUE_WITH_UNIT
 from ..functions.text import match_score, search_text, section_text
 
 
@@ -21,7 +21,7 @@ def numeric_score(text, section_path, chunk_type, endpoint: str = ENDPOINT_TERMS
         + F.when(section.contains(RESULT_SECTIONS), 5.0).otherwise(0.0)
         - F.when(other, 4.0).otherwise(0.0)
         + F.when(text.rlike("(?i)" + POTENCY_TERMS), 4.0).otherwise(0.0)
-        + F.when(text.rlike(r"(?i)\b(?:significant|significantly|increased|decreased|reduced|inhibited|compared)\b"), 1.5).otherwise(0.0)
+        + F.when(text.rlike("(?i)" + CUE_WORDS), 1.5).otherwise(0.0)
         + 0.75 * F.least(F.size(F.regexp_extract_all(text, F.lit("(?i)(" + value + ")"), F.lit(1))), F.lit(4))
     )
     return F.when(text.rlike("(?i)" + endpoint) & text.rlike("(?i)" + value), score).otherwise(0.0)
@@ -57,9 +57,9 @@ def candidates(chunks: DataFrame, labeled: DataFrame, evidence: DataFrame) -> Da
 
 
 def contexts(kept: DataFrame) -> DataFrame:
-    """One row a paper: the texts (column rendered) in order, and the ids used."""
-    rows = kept.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("context_order", "chunk_id", "rendered"))).alias("rows"))
-    return rows.select("paper_id", F.array_join("rows.rendered", "\n\n").alias("context"), F.col("rows.chunk_id").alias("used_chunk_ids"))
+    """One row a paper: the texts (column rendered) in order as one context, the ids used, and the texts by themselves with their type."""
+    rows = kept.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("context_order", "chunk_id", "chunk_type", "rendered"))).alias("rows"))
+    return rows.select("paper_id", F.array_join("rows.rendered", "\n\n").alias("context"), F.col("rows.chunk_id").alias("used_chunk_ids"), F.transform("rows", lambda r: F.struct(r["chunk_type"].alias("chunk_type"), r["rendered"].alias("rendered"))).alias("parts"))
 
 
 def attribute(records: DataFrame, used: DataFrame, fields: list[str], limit: int = SOURCE_CHUNKS) -> DataFrame:
@@ -73,8 +73,3 @@ def attribute(records: DataFrame, used: DataFrame, fields: list[str], limit: int
     rows = rows.filter((F.col("rank") <= limit) & ((F.col("score") > 0) | ~F.col("any")))
     return rows.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("context_order", "chunk_id")))["chunk_id"].alias("source_chunk_ids"))
 
-
-def batches(ids: DataFrame, size: int = 5) -> DataFrame:
-    """Evidence ids (paper_id, chunk_id, context_order) of each paper in batches, for a second try."""
-    w = Window.partitionBy("paper_id").orderBy("context_order")
-    return ids.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size))

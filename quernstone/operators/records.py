@@ -57,10 +57,10 @@ class EndpointConstraint:
     def apply(self, records: DataFrame, record_type: str = "record_type", endpoint: str = "endpoint") -> DataFrame:
         return records.withColumn(endpoint, self.resolve(record_type, endpoint)).filter(F.col(endpoint).isNotNull())
 
-    def rejected(self, records: DataFrame, record_type: str = "record_type", endpoint: str = "endpoint") -> DataFrame:
-        """Rejected rows by pair, as `type | endpoint`."""
+    def rejected(self, records: DataFrame, record_type: str = "record_type", endpoint: str = "endpoint", *by: str) -> DataFrame:
+        """Rejected rows by pair, as `type | endpoint` (and by more columns)."""
         shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
-        return records.filter(self.resolve(record_type, endpoint).isNull()).groupBy(F.concat(shown(record_type), F.lit(" | "), shown(endpoint)).alias("combo")).agg(F.count("*").alias("n"))
+        return records.filter(self.resolve(record_type, endpoint).isNull()).groupBy(*by, F.concat(shown(record_type), F.lit(" | "), shown(endpoint)).alias("combo")).agg(F.count("*").alias("n"))
 
 
 def standard_terms(c, terms: dict[str, list[str]], multiple: bool = False, match: str = "contains") -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,7 +96,3 @@ def paper_text(limit: int = 3000) -> Column:
     """What a classifier is shown: title, text up to the limit, and a note if the text is no abstract."""
     note = F.when(F.col("metadata_quality") == "html_front_matter", "Note: the text is the start of the page, not an abstract.").when(F.col("metadata_quality") == "title_only", "Note: only the title is known.")
     return F.concat_ws("\n", F.concat(F.lit("Title: "), F.nullif("title", F.lit(""))), F.concat(F.lit("Text: "), F.substring(F.nullif("text_for_filter", F.lit("")), 1, limit)), note)
-
-
-def any_of(rows: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, rows)

@@ -42,7 +42,23 @@ def labeling_summary(labeled: DataFrame) -> DataFrame:
     return labeled.agg(F.count("*").alias("total_chunks"), F.coalesce(F.sum(F.size("labels")), F.lit(0)).alias("total_assignments"))
 
 
-def extraction_summary(papers: DataFrame) -> DataFrame:
-    """papers: paper_id, status, n_records, n_rejected."""
-    complete = F.col("status").rlike("^(ok|skipped:no_context)")
-    return papers.agg(F.count("*").alias("total_papers_processed"), F.sum("n_records").alias("total_records"), F.sum("n_rejected").alias("endpoint_constraint_rejected"), F.count_if(~F.coalesce(complete, F.lit(False))).alias("papers_failed"))
+EXTRACTED = "paper_id string, status string, records_raw long, records_after_cleanup long, duplicates_removed long, endpoint_constraint_rejected long, rejected_by_combo map<string,long>, context_chunks_used long"
+COUNTS = ("records_raw", "records_after_cleanup", "duplicates_removed", "endpoint_constraint_rejected")
+
+
+def added(rows: DataFrame, column: str) -> DataFrame:
+    """One row with a map whose values are the sums over the rows' maps."""
+    each = rows.select(F.explode(column).alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n"))
+    return each.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias(column))
+
+
+def extraction_summary(papers: DataFrame, this_run: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """papers: EXTRACTED, all so far; this_run: paper_ids tried now (None: all); known: all paper_ids that could be (None: those of papers). Counts, rejected pairs with their numbers, and the same for this run."""
+    complete = F.coalesce(F.col("status").rlike("^(ok|skipped:no_context)"), F.lit(False))
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    now = papers if this_run is None else papers.join(this_run.select("paper_id").distinct(), "paper_id", "left_semi")
+    n_known = (papers if known is None else known).agg(F.count_distinct("paper_id").alias("total_papers_processed"))
+    every = papers.agg(F.count_if(~complete).alias("total_papers_failed"), total("records_after_cleanup", "total_records_extracted"), *(total(c, c) for c in COUNTS))
+    run = now.agg(F.count("*").alias("processed_this_run"), *(total(c, f"{c}_this_run") for c in COUNTS))
+    out = n_known.crossJoin(every).crossJoin(run).crossJoin(added(papers, "rejected_by_combo"))  # rows of one each
+    return out.withColumn("skipped_existing", F.col("total_papers_processed") - F.col("processed_this_run"))

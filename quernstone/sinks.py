@@ -38,12 +38,13 @@ def upsert_new(rows: DataFrame, path: str, key: str = "chunk_id") -> DataFrame:
     return new
 
 
-def write_screening(results: DataFrame, folder: str) -> None:
-    """Results, passed and rejected rows and counts of a screening."""
+def write_screening(results: DataFrame, folder: str, results_too: bool = True) -> None:
+    """Results (unless they are there already), passed and rejected rows and counts of a screening."""
     from .operators.screening import decision_counts, outputs
 
     passed, rejected = outputs(results)
-    write_jsonl(results, f"{folder}/filter_results")
+    if results_too:
+        write_jsonl(results, f"{folder}/filter_results")
     write_jsonl(passed, f"{folder}/passed")
     write_jsonl(rejected, f"{folder}/rejected")
     write_summary(decision_counts(results), f"{folder}/summary")

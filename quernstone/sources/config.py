@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from pathlib import Path
 
+import pandas as pd
 import yaml
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.text import pmcid
 from ..operators.records import PostConfig
 from ..operators.retrieve import Field
 from ..operators.screening import Criterion
@@ -157,8 +162,66 @@ def snapshot(data: dict, path) -> None:
 
 @dataclass
 class Lookup:
-    """Where full texts come from. resolve: row -> PMCID or None; fetch: PMCID -> XML text. The default has no network and finds nothing."""
+    """Where full texts come from. resolve: row (a dict) -> PMCID or None; fetch: PMCID -> XML as bytes or None. Both run on the executors and may raise; without fetch nothing is found (there is no network here)."""
 
     resolve: object = None
     fetch: object = None
-    providers: list = field(default_factory=list)
+
+
+def folder_lookup(folder: str):
+    """fetch from files named by PMCID in a folder that all executors see."""
+
+    def fetch(pmcid: str) -> bytes | None:
+        path = Path(folder) / f"{pmcid}.xml"
+        return path.read_bytes() if path.is_file() else None
+
+    return fetch
+
+
+def looked_up(rows: DataFrame, lookup: Lookup) -> DataFrame:
+    """rows with pmcid, status (already_exists, downloaded, no_pmcid, unavailable, error) and content, the XML that was found."""
+    names = [c for c in rows.columns if c not in ("_pos", "status", "content")]
+    rows = rows.select(*(F.col(c) for c in names))
+
+    def run(frames):
+        for f in frames:
+            out = []
+            for row in f.to_dict("records"):
+                path, content = str(row.get("source_path") or ""), None
+                if path.lower().endswith((".xml", ".nxml")):
+                    status = "already_exists"
+                else:
+                    try:
+                        row["pmcid"] = row.get("pmcid") or (lookup.resolve(row) if lookup.resolve else None)
+                        content = lookup.fetch(row["pmcid"]) if row["pmcid"] and lookup.fetch else None
+                        status = "no_pmcid" if not row["pmcid"] else "downloaded" if content else "unavailable"
+                    except Exception as e:  # noqa: BLE001  whatever a service raises
+                        status, row["reason"] = "error", f"{type(e).__name__}: {e}"
+                out.append(row | {"status": status, "content": content})
+            yield pd.DataFrame(out, columns=[*names, "status", "content"])
+
+    return rows.withColumn("pmcid", pmcid("pmcid")).mapInPandas(run, T.StructType([*rows.schema.fields, T.StructField("status", T.StringType()), T.StructField("content", T.BinaryType())]))
+
+
+def words_of(text: str) -> list[str]:
+    return list(dict.fromkeys(w for w in re.findall(r"[a-z0-9]{3,}", text.lower()) if w not in DRAFT_STOPS))
+
+
+DRAFT_STOPS = {"and", "any", "for", "from", "how", "its", "not", "of", "the", "their", "this", "that", "used", "was", "what", "which", "with"}
+
+
+def draft_labeling(spec: Requirements) -> dict:
+    """Settings for labeling from what is to be found: the words of a field's name are strong patterns and table keywords, those of its definition weaker ones. A draft to be edited; a model may write a better one."""
+    edge = lambda words: [rf"\b{re.escape(w)}" for w in words]
+    fields = []
+    for f in spec.fields:
+        name = words_of(f.name.replace("_", " "))
+        fields.append({"field_name": f.name, "patterns": {"strong": edge(name), "other": edge(w for w in words_of(f.definition) if w not in name)}, "table_header_keywords": name})
+    return {"fields": fields}
+
+
+def draft_filter(spec: Requirements) -> dict:
+    """Criteria for a screening from the same: is the paper about the domain, and does it report the record. Keywords are for the classifier that needs no model."""
+    about, reports = words_of(spec.domain_description), words_of(" ".join([spec.record_meaning, *(f.name.replace("_", " ") for f in spec.fields)]))
+    some = [{"name": "in_domain", "question": f"Is the paper about {spec.domain_description}?", "uncertain_policy": "pass"}, {"name": "reports_record", "question": f"Does it report {spec.record_meaning or spec.record_name}?", "uncertain_policy": "pass"}]
+    return {"criteria": some, "keywords": {"in_domain": about, "reports_record": reports}}

@@ -25,7 +25,8 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[\"'“(\[]?[A-Z0-9])")
 
 
 def plain(node) -> str:
-    return " ".join("".join(node.itertext()).split()) if node is not None else ""
+    """Text of an element, with a space between the texts of inline elements."""
+    return " ".join(w for t in node.itertext() for w in t.split()) if node is not None else ""
 
 
 def size_of(text: str) -> int:
@@ -102,7 +103,7 @@ class Article:
         if body is None:
             raise ValueError("no <body>")
         self.abstracts(root.find(".//front"))
-        self.walk(body, [], "")
+        self.walk(body, [], None)
         for back in root.iter("back"):
             self.skips.update(x.tag for x in back.iter() if x.tag in SKIPPED)
 
@@ -122,33 +123,35 @@ class Article:
                 text = " ".join(filter(None, (plain(p) for p in s.iter("p"))))
                 if text:
                     self.add("abstract", text, ["Abstract", *([heading] if heading else [])], "abstract")
-            if not sections and (text := " ".join(filter(None, (plain(p) for p in a.iter("p")))) or plain(a)):
+            if not sections and (text := " ".join(filter(None, (plain(p) for p in a.iter("p"))))):
                 self.add("abstract", text, ["Abstract"], "abstract")
 
-    def walk(self, node, section: list[str], sec_type: str):
+    def walk(self, node, section: list[str], sec_type: str | None):
+        """sec_type: of the element that holds the node's children, not of those around it."""
         for e in node:
             if e.tag == "sec":
                 heading = plain(e.find("title"))
-                self.walk(e, [*section, heading] if heading else section, e.get("sec-type") or sec_type)
+                self.walk(e, [*section, heading] if heading else section, e.get("sec-type") or None)
             elif e.tag == "p":
                 self.paragraph(e, section, sec_type)
             elif e.tag == "table-wrap":
                 self.table(e, section, sec_type)
             elif e.tag in INNER:
-                self.walk(e, section, sec_type)
+                self.walk(e, section, None)
             elif e.tag in SKIPPED:
                 self.skips[e.tag] += 1
 
     def paragraph(self, p, section, sec_type):
         for t in list(p.iter("table-wrap")):
             self.table(t, section, sec_type)
-        text = " ".join(self.without(p, "table-wrap").split())
+        text = " ".join(self.without(p, "table-wrap"))
         if len(text) >= 2 and re.search("[A-Za-z0-9]", text):
             for part in split_paragraph(text):
                 self.add("paragraph", part, section, sec_type)
 
-    def without(self, node, tag) -> str:
-        return (node.text or "") + "".join(("" if e.tag == tag else self.without(e, tag)) + (e.tail or "") for e in node)
+    def without(self, node, tag) -> list[str]:
+        """Words of an element but for those in elements of a kind."""
+        return [*(node.text or "").split(), *(w for e in node for w in [*([] if e.tag == tag else self.without(e, tag)), *(e.tail or "").split()])]
 
     def table(self, wrap, section, sec_type):
         label, caption = plain(wrap.find("label")), plain(wrap.find("caption"))
@@ -159,10 +162,11 @@ class Article:
         if not head and rows:
             head, rows = rows[:1], rows[1:]
         headers = flat_headers(head)
-        notes = [t for foot in wrap.findall("table-wrap-foot") for e in (foot.findall(".//fn") or foot.findall(".//p")) if (t := plain(e))]
+        foot = wrap.find(".//table-wrap-foot")
+        notes = [t for e in (foot.iter() if foot is not None else ()) if e.tag in ("p", "fn") and (t := plain(e))] or [t for t in [plain(foot)] if t]
         shown = markdown(headers, rows)
         text = "\n".join(filter(None, (". ".join(filter(None, (label, caption))), shown)))
-        self.add("table", text, section, sec_type, label=label, caption=caption, header_rows=head, headers=headers, rows=rows, n_rows=len(rows), n_cols=len(headers) or max(map(len, rows), default=0), footnotes=notes, markdown_text=shown)
+        self.add("table", text, section, sec_type, label=label, caption=caption, header_rows=head, headers=headers, rows=rows, n_rows=len(rows), n_cols=max([len(headers), *map(len, rows)]), footnotes=notes, markdown_text=shown)
 
 
 def chunks(files: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from quernstone import cli, models, sinks
 from quernstone.sources import config, html_meta, jats, jsonl, wos
 from quernstone.streaming import incremental
@@ -51,10 +54,10 @@ def test_jats(spark, tmp_path):
     chunks = sorted((r for r in rows if r.chunk_id), key=lambda r: r.metadata.chunk_index)
     assert [(r.chunk_id, r.chunk_type, r.text if r.chunk_type != "table" else None, r.section_path) for r in chunks] == [
         ("PMC1::a0000", "abstract", "To see.", ["Abstract", "Aim"]), ("PMC1::a0001", "abstract", "Seen it.", ["Abstract"]), ("PMC1::t0002", "table", None, ["Methods"]),
-        ("PMC1::p0003", "paragraph", "We did it well. After.", ["Methods"]), ("PMC1::p0004", "paragraph", "Deep text.", ["Methods"]), ("PMC1::p0005", "paragraph", "Boxed text.", []),
+        ("PMC1::p0003", "paragraph", "We did it well . After.", ["Methods"]), ("PMC1::p0004", "paragraph", "Deep text.", ["Methods"]), ("PMC1::p0005", "paragraph", "Boxed text.", []),
     ]
     t = chunks[2].metadata
-    assert t.headers == ["A", "B x", "y"] and t.rows == [["1", "2|3", "4"]] and t.footnotes == ["note"] and "2\\|3" in t.markdown_text
+    assert t.headers == ["A", "B x", "y"] and t.rows == [["1", "2|3", "4"]] and t.footnotes == ["note", "note"] and t.n_cols == 3 and t.sec_type == "methods" and chunks[4].metadata.sec_type is None and "2\\|3" in t.markdown_text
     assert t.header_rows == [["A", "B", ""], ["", "x", "y"]] and chunks[2].text.startswith("Table 1. Cap\n|")
     assert {r.tag: r.n for r in jats.skip_counts(jats.read(spark, str(tmp_path))).collect()} == {"ack": 1, "ref-list": 1, "notes": 1}
     assert [r.error for r in rows if r.error] == ["ValueError: no <body>"]
@@ -117,6 +120,117 @@ def test_backends(spark):
     assert models.as_text(2959) == "2959" and models.as_text([1]) == "[1]"
 
 
+def test_second_tries():
+    parts = [{"chunk_type": "abstract", "rendered": "A"}, *({"chunk_type": "paragraph", "rendered": f"p{k}"} for k in range(7))]
+    seen = []
+
+    def limited(context, fields, mode):
+        seen.append((mode, context.split("\n\n")))
+        if mode == "strict":
+            raise ValueError
+        if len(seen[-1][1]) > 4:
+            raise TimeoutError
+        return [{"f": x} for x in seen[-1][1][1:]], "ok"
+
+    call = lambda text: models.in_modes(limited, text, ["f"], ("strict", "plain"))
+    assert call("A\n\np1") == ([{"f": "p1"}], "ok") and [m for m, _ in seen] == ["strict", "plain"]
+    rows, status = models.in_batches(call, parts)
+    assert [r["f"] for r in rows] == [f"p{k}" for k in range(7)] and status == "ok:split_retry:2_batches"
+    assert models.in_batches(lambda _: ([], "failed:TimeoutError"), parts) is None
+    few = lambda text: ([{"f": text}], "ok") if text.endswith("p6") else ([], "failed:TimeoutError")
+    assert models.in_batches(few, parts)[1] == "ok:split_retry_partial:2_batches:5_failed"
+
+
+def run(spark, *args):
+    a = cli.parser().parse_args([str(x) for x in args])
+    a.run(spark, a)
+    return a
+
+
+def jsonl_rows(spark, path):
+    return [r.asDict(recursive=True) for r in spark.read.json(str(path)).collect()]
+
+
+def test_runs_go_on_where_the_last_one_ended(spark, tmp_path):
+    """Every stage twice: first one paper, then the others; what there was stays."""
+    out, xml = tmp_path / "out", tmp_path / "xml"
+    xml.mkdir()
+    for k in (1, 2, 3):
+        (xml / f"PMC{k}.xml").write_text(ARTICLE.replace("PMC1", f"PMC{k}"), encoding="utf-8")
+    papers = [{"paper_id": f"PMC{k}", "title": f"On things {k}", "text_for_filter": "things", "pmcid": f"PMC{k}", "file_type": "metadata"} for k in (1, 2, 3)] + [{"paper_id": "X", "title": "On nothing", "file_type": "metadata"}]
+    (tmp_path / "papers.json").write_text("".join(json.dumps(p) + "\n" for p in papers), encoding="utf-8")
+    (tmp_path / "r.yaml").write_text(REQUIREMENTS, encoding="utf-8")
+    (tmp_path / "presets" / "demo").mkdir(parents=True)
+    (tmp_path / "presets" / "demo" / "labeling_config.yaml").write_text(LABELING, encoding="utf-8")
+    (tmp_path / "presets" / "demo" / "paper_filter.yaml").write_text("criteria: [{name: c, uncertain_policy: reject}]\nkeywords: {c: [things]}\n", encoding="utf-8")
+    preset = ["--project", "demo", "--preset-dir", tmp_path / "presets", "--output", out]
+
+    for more in (["--limit", 1], []):
+        run(spark, "filter", "--metadata", tmp_path / "papers.json", *preset, *more)
+    results = {r["paper_id"]: r["decision"] for r in jsonl_rows(spark, out / "filter_results")}
+    assert results == {"PMC1": "pass", "PMC2": "pass", "PMC3": "pass", "X": "reject"}
+    assert sorted(r["paper_id"] for r in jsonl_rows(spark, out / "passed")) == ["PMC1", "PMC2", "PMC3"]
+    (counts,) = jsonl_rows(spark, out / "summary")
+    assert (counts["total"], counts["passed"], counts["rejected"]) == (4, 3, 1)
+
+    for more in (["--limit", 1], []):
+        run(spark, "acquire", "--passed", out / "passed", "--fulltext-dir", xml, "--output", out, *more)
+    assert {r["paper_id"]: r["status"] for r in jsonl_rows(spark, out / "acquisition")} == {f"PMC{k}": "downloaded" for k in (1, 2, 3)}
+    for more in (["--limit", 1], []):
+        run(spark, "preprocess", "--passed", out / "acquisition", "--output", out, *more)
+    assert {r["paper_id"] for r in jsonl_rows(spark, out / "parsed_chunks")} == {"PMC1", "PMC2", "PMC3"}
+    for more in (["--limit", 1], []):
+        run(spark, "label", "--chunks", out / "parsed_chunks", *preset, *more)
+    assert {r["paper_id"] for r in jsonl_rows(spark, out / "labeled_chunks")} == {"PMC1", "PMC2", "PMC3"}
+
+    extract = ["extract", "--requirements", tmp_path / "r.yaml", "--chunks", out / "parsed_chunks", "--labels", out / "labeled_chunks", "--output", out]
+    run(spark, *extract, "--limit", 1)
+    assert {r["paper_id"] for r in jsonl_rows(spark, out / "extracted_records")} == {"PMC1"}
+
+    def down(context, fields):
+        raise ConnectionError
+
+    a = cli.parser().parse_args([str(x) for x in [*extract, "--checkpoint-every", 1]])
+    cli.extract(spark, a, down)  # nothing new comes, what there was stays
+    assert {r["paper_id"] for r in jsonl_rows(spark, out / "extracted_records")} == {"PMC1"}
+    status = {r["paper_id"]: r["status"] for r in jsonl_rows(spark, out / "extraction_status")}
+    assert status == {"PMC1": "ok", "PMC2": "failed:ConnectionError", "PMC3": "failed:ConnectionError"}
+    run(spark, *extract)  # failed ones come again
+    run(spark, *extract)  # nothing is left to do
+    records_ = jsonl_rows(spark, out / "extracted_records")
+    assert sorted(r["record_id"] for r in records_) == [f"PMC{k}::r0001" for k in (1, 2, 3)]
+    (total,) = jsonl_rows(spark, out / "extraction_summary")
+    assert (total["total_records_extracted"], total["total_papers_failed"], total["processed_this_run"], total["skipped_existing"]) == (3, 0, 0, 3)
+    run(spark, *extract, "--paper-id", "PMC2")
+    assert len(jsonl_rows(spark, out / "extracted_records")) == 3
+    with pytest.raises(SystemExit, match="PMC9"):
+        run(spark, *extract, "--paper-id", "PMC9")
+
+
+def test_drafts_and_lookups(spark, tmp_path):
+    spec = config.requirements_of("alloys", "yield_strength,phase", {"yield_strength": "stress at which it yields", "phase": "crystal phase"})
+    fields = config.labeling(config.draft_labeling(spec))
+    assert [f.name for f in fields] == ["yield_strength", "phase"] and fields[0].keywords == ["yield", "strength"] and "\\bstress" in fields[0].patterns["other"]
+    assert [c.name for c in config.criteria(config.draft_filter(spec))] == ["in_domain", "reports_record"]
+
+    def fetch(pmcid):
+        if pmcid == "PMC3":
+            raise OSError
+        return b"<x/>" if pmcid == "PMC2" else None
+
+    rows = spark.createDataFrame([("a", "", "/f/a.xml"), ("b", "2", None), ("c", "PMC3", None), ("d", "4", ""), ("e", None, None)], "paper_id string, pmcid string, source_path string").withColumn("reason", F.lit(""))
+    got = {r.paper_id: (r.status, r.pmcid, r.content) for r in config.looked_up(rows, config.Lookup(fetch=fetch)).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"a": "already_exists", "b": "downloaded", "c": "error", "d": "unavailable", "e": "no_pmcid"} and got["b"][1:] == ("PMC2", b"<x/>")
+
+
+def test_confirmation(spark):
+    field = config.labeling({"fields": [{"field_name": "v", "patterns": {"strong": ["did"]}, "llm_binary_confirm": True}, {"field_name": "w"}]})
+    evidence = spark.createDataFrame([("p", "v", "a"), ("p", "v", "b"), ("p", "w", "b")], "paper_id string, field string, chunk_id string")
+    chunks = spark.createDataFrame([("a", "we did it"), ("b", "no")], "chunk_id string, text string")
+    kept = lambda **k: sorted((r.field, r.chunk_id) for r in models.confirm(evidence, chunks, field, **k).collect())
+    assert kept() == [("v", "a"), ("w", "b")] and len(kept(judge=lambda rows, _: F.lit(None).cast("boolean"))) == 3
+
+
 REQUIREMENTS = """project_name: demo
 domain_description: things
 record: {name: finding, meaning: a finding, fields: [{name: value, definition: the value, type: number}, {name: what, definition: what it is}]}

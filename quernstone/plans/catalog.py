@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.fixed import STOP_WORDS
 from ..functions.numeric import conversion, with_readings
 from ..functions.text import paragraph_chunks, search_text, section_text, sentences, token_estimate
 from ..operators import context, identity, records, retrieve, screening, summaries
@@ -103,11 +104,35 @@ def rrf_fusion(spark, d):
     return out.select("paper_id", "field", "chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("sources", ";").alias("sources"), F.col("hybrid_rank").cast("long").alias("hybrid_rank"))
 
 
-@query()
+#: A stand-in for distances of vectors: a number of each chunk and field.
+DISTANCE = "(chunk_index * 37 + length(text) * 11 + field_ord * 17) % 101 / 101.0D"
+HEADING = " WHEN ".join(f"field = '{f.name}' THEN " + " + ".join(f"CASE WHEN contains(lower(caption), '{k}') THEN 2.0 ELSE 0 END + CASE WHEN len(list_filter(headers, lambda x: contains(lower(x), '{k}'))) > 0 THEN 1.5 ELSE 0 END" for k in f.keywords) for f in A.FIELDS)
+COMPOSED = f"""open AS (SELECT *, CASE WHEN chunk_type = 'table' THEN 'table' ELSE 'text' END AS channel, CASE WHEN {HEADING} END AS heading FROM pooled WHERE pool <> 'excluded'),
+sizes AS (SELECT paper_id, field, channel, count(*) AS n, count(*) FILTER (pool = 'preferred') AS n_preferred FROM open GROUP BY ALL),
+scoped AS (SELECT *, unnest(CASE WHEN pool = 'preferred' THEN ['preferred', 'all'] ELSE ['all'] END) AS scope FROM open),
+raw AS (SELECT paper_id, field, chunk_id, row_number() OVER (PARTITION BY paper_id, field ORDER BY {DISTANCE.replace("D", "")}, chunk_id) - 1 AS raw FROM pooled QUALIFY raw < 40),
+hits AS (SELECT paper_id, field, channel, scope, chunk_id, row_number() OVER (PARTITION BY paper_id, field, channel, scope ORDER BY raw) - 1 AS rank FROM scoped JOIN raw USING (paper_id, field, chunk_id) WHERE raw < CASE channel WHEN 'text' THEN 40 ELSE 20 END QUALIFY rank < CASE channel WHEN 'text' THEN 20 ELSE 10 END),
+tops AS (SELECT paper_id, field, channel, scope, chunk_id, kind, row_number() OVER (PARTITION BY paper_id, field, channel, scope, kind ORDER BY s DESC, CASE WHEN pool = 'preferred' THEN 0 ELSE 1 END, chunk_index, chunk_id) - 1 AS rank
+  FROM (SELECT *, 'regex' AS kind, score AS s FROM scoped UNION ALL SELECT *, 'table_header', heading FROM scoped WHERE channel = 'table') WHERE s > 0 QUALIFY rank < CASE channel WHEN 'text' THEN 20 ELSE 10 END),
+found AS (SELECT paper_id, field, channel, count(*) FILTER (scope = 'preferred') AS hits FROM hits GROUP BY ALL),
+lists AS (SELECT paper_id, field, channel, 'all' AS scope, chunk_id, 'regex' AS source, 1 AS list_ord, rank FROM tops WHERE channel = 'text' AND scope = 'all'
+  UNION ALL SELECT paper_id, field, channel, 'all', chunk_id, 'semantic', 0, rank FROM hits JOIN sizes USING (paper_id, field, channel) JOIN found USING (paper_id, field, channel) WHERE channel = 'text' AND scope = CASE WHEN n_preferred = 0 OR (hits < 5 AND n > n_preferred) THEN 'all' ELSE 'preferred' END
+  UNION ALL SELECT paper_id, field, channel, scope, chunk_id, kind, CASE kind WHEN 'regex' THEN 2 ELSE 0 END, rank FROM tops WHERE channel = 'table'
+  UNION ALL SELECT paper_id, field, channel, scope, chunk_id, 'semantic', 1, rank FROM hits WHERE channel = 'table'),
+merged AS (SELECT paper_id, field, channel, scope, chunk_id, sum(CAST(1 AS DOUBLE) / (60 + rank + 1)) AS s, min(list_ord * 1000 + rank) AS first, string_agg(source, ';' ORDER BY list_ord) AS sources FROM lists GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY paper_id, field, channel, scope ORDER BY round(s, 12) DESC, first, chunk_id) AS hybrid_rank FROM merged QUALIFY hybrid_rank <= CASE channel WHEN 'text' THEN 5 ELSE 15 END),
+fused_tables AS (SELECT paper_id, field, channel, count(*) FILTER (scope = 'preferred') AS fused FROM placed WHERE channel = 'table' GROUP BY ALL)"""
+
+
+@query(f"""SELECT paper_id, field, channel, chunk_id, hybrid_rank, round(s, 9) AS rrf_score, sources FROM placed WHERE channel = 'text' UNION ALL
+SELECT paper_id, field, channel, chunk_id, hybrid_rank, round(s, 9), sources FROM placed JOIN sizes USING (paper_id, field, channel) JOIN fused_tables USING (paper_id, field, channel)
+WHERE scope = CASE WHEN n_preferred > 0 AND n > 5 AND fused >= 5 THEN 'preferred' ELSE 'all' END AND (n <= 5 OR hybrid_rank <= 5)""", A.CHUNKS, A.POOLED, COMPOSED)
 def labeling_composite(spark, d):
-    """Text and table channels with their pools, fused (held against a plain version in the tests)."""
-    out = retrieve.label_evidence(A.chunks(spark, d), A.FIELDS)
-    return out.select("paper_id", "field", "channel", "chunk_id", "hybrid_rank", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("sources", ";").alias("sources"))
+    """Text and table channels with their pools, fused from pattern, header and vector rankings."""
+    chunks = A.chunks(spark, d)
+    near = retrieve.by_field(chunks, A.FIELDS, lambda f: [], "x").select("paper_id", "field", "chunk_id", F.expr(DISTANCE).alias("distance"))
+    out = retrieve.label_evidence(chunks, A.FIELDS, near)
+    return out.select("paper_id", "field", "channel", "chunk_id", F.col("hybrid_rank").cast("long").alias("hybrid_rank"), F.round("rrf_score", 9).alias("rrf_score"), F.array_join("sources", ";").alias("sources"))
 
 
 def labeled(spark, d) -> DataFrame:
@@ -163,9 +188,21 @@ def context_budget(spark, d):
     return kept(spark, d).select("paper_id", "chunk_id", "step", F.col("context_order").cast("long").alias("context_order"))
 
 
-@query()
+STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+LOOKED = r"trim(regexp_replace(regexp_replace(regexp_replace(lower(text), '(\d),(\d)', '\1\2', 'g'), '(\d),(\d)', '\1\2', 'g'), '\s+', ' ', 'g'))"
+TRACED = rf"""kept AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY step, chunk_index, chunk_id) AS context_order FROM three WHERE step = 1 OR keep2 OR (step = 3 AND base3 + run <= 1500)),
+found AS (SELECT paper_id, array_to_string(list_slice(string_split({LOOKED}, ' '), 1, 3), ' ') AS v FROM chunks WHERE chunk_index = 0),
+scored AS (SELECT paper_id, chunk_id, context_order, CASE WHEN v = '' OR v IN ('none', 'null', 'not stated', 'not reported') THEN 0.0 ELSE
+  CASE WHEN v <> '' AND CASE WHEN length(v) <= 3 AND regexp_matches(v, '^[a-z0-9]+$') THEN regexp_matches(t, '(^|[^a-z0-9])' || v || '([^a-z0-9]|$)') ELSE contains(t, v) END THEN 3.0 ELSE 0.0 END
+  + 2.1 * len(list_filter(list_distinct(regexp_extract_all(v, '(?:^|[^a-z0-9.])(\d+(?:\.\d+)?)', 1)), lambda x: regexp_matches(t, '(^|[^0-9.])' || replace(x, '.', '\.') || '[.]*([^0-9.]|$)')))
+  + least(1.5, 0.75 * len(list_filter(list_distinct(regexp_extract_all(v, '([a-z0-9][a-z0-9+\-/]{{2,}})', 1)), lambda x: x NOT IN ({STOPS}) AND NOT regexp_matches(x, '^\d+$') AND contains(t, x)))) END AS score
+  FROM (SELECT k.paper_id, k.chunk_id, k.context_order, f.v, {LOOKED} AS t FROM kept k JOIN found f USING (paper_id))),
+best AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY score DESC, context_order) AS rank, max(score) OVER (PARTITION BY paper_id) > 0 AS any_ FROM scored)"""
+
+
+@query("SELECT paper_id || '::r0001' AS record_id, string_agg(chunk_id, ';' ORDER BY context_order) AS source_chunk_ids FROM best WHERE rank <= 4 AND (score > 0 OR NOT any_) GROUP BY paper_id", A.CHUNKS, A.POOLED, LABELED, NUMERIC, BUDGET, TRACED)
 def record_attribution(spark, d):
-    """Each document's first words as a record, traced to its chunks (held against a plain version in the tests)."""
+    """Each document's first words as a record, traced to its chunks."""
     chunks = A.chunks(spark, d)
     found = chunks.filter("chunk_index = 0").select("paper_id", F.concat("paper_id", F.lit("::r0001")).alias("record_id"), F.substring_index(search_text("text"), " ", 3).alias("endpoint"), F.lit("none").alias("value"))
     out = context.attribute(found, kept(spark, d), ["endpoint", "value"])
@@ -350,12 +387,21 @@ def token_estimate_query(spark, d):
     return A.table(spark, d, "documents").select("doc_id", token_estimate("text").alias("tokens"))
 
 
-@query()
+SENTENCES = r"""sentences AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace({text}, '([.!?])[\s\x{A0}]+([\"''“(\[]?[A-Z0-9])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS parts FROM documents WHERE text IS NOT NULL)"""
+#: Sentences gathered one after another; `part` goes up where a cut is made.
+GATHERED = r"""each AS (SELECT doc_id, unnest(parts) AS s, unnest(range(1, len(parts) + 1)) AS i FROM sentences), sized AS (SELECT *, greatest(1, length(s) // 4) AS n FROM each),
+remaining AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i DESC) AS left_ FROM sized),
+gathered AS (SELECT doc_id, i, s, n AS size, 0 AS part FROM remaining WHERE i = 1 UNION ALL
+  SELECT r.doc_id, r.i, r.s, CASE WHEN g.size + r.n > 400 AND r.left_ >= 200 THEN r.n ELSE g.size + r.n END, CASE WHEN g.size + r.n > 400 AND r.left_ >= 200 THEN g.part + 1 ELSE g.part END FROM gathered g JOIN remaining r ON r.doc_id = g.doc_id AND r.i = g.i + 1),
+whole AS (SELECT doc_id, trim(regexp_replace(text, '[\s\x{A0}]+', ' ', 'g')) AS text FROM documents WHERE text IS NOT NULL)"""
+
+
+@query("SELECT doc_id, CAST(0 AS INTEGER) AS part, text FROM whole WHERE greatest(1, length(text) // 4) <= 400 UNION ALL SELECT doc_id, CAST(part AS INTEGER), string_agg(s, ' ' ORDER BY i) FROM gathered JOIN whole USING (doc_id) WHERE greatest(1, length(whole.text) // 4) > 400 GROUP BY doc_id, part", "RECURSIVE " + SENTENCES.replace("{text}", r"trim(regexp_replace(text, '[\s\x{A0}]+', ' ', 'g'))"), GATHERED)
 def paragraph_chunking(spark, d):
     return A.table(spark, d, "documents").select("doc_id", F.posexplode(paragraph_chunks("text")).alias("part", "text"))
 
 
-@query()
+@query("SELECT doc_id, CAST(unnest(range(len(parts))) AS INTEGER) AS part, unnest(parts) AS text FROM sentences", SENTENCES.replace("{text}", "text"))
 def sentence_split(spark, d):
     return A.table(spark, d, "documents").select("doc_id", F.posexplode(sentences("text")).alias("part", "text"))
 

@@ -127,12 +127,14 @@ def preprocess(spark, a):
     before = jsonl.read(spark, f"{a.output}/preprocess_errors", ERRORS, optional=True).drop("_pos")
     kept = identity.carried_errors(before, todo, jsonl.read(spark, f"{a.output}/parsed_chunks", CHUNKS))
     replace(spark, failed.unionByName(bad).unionByName(kept), f"{a.output}/preprocess_errors")
+    skips = summaries.skip_counts(jats.skip_counts(rows), jsonl.read(spark, f"{a.output}/skipped_sections", "tag string, n long", optional=True).drop("_pos"))
+    replace(spark, skips, f"{a.output}/skipped_sections")
     sinks.write_summary(summaries.chunk_summary(jsonl.read(spark, f"{a.output}/parsed_chunks", CHUNKS)), f"{a.output}/preprocess_summary")
 
 
 def flat(chunks: DataFrame) -> DataFrame:
     m = F.col("metadata")
-    return chunks.select("paper_id", "chunk_id", m["chunk_index"].alias("chunk_index"), "chunk_type", "text", "section_path", F.coalesce(m["caption"], F.lit("")).alias("caption"), F.coalesce(m["headers"], F.array().cast("array<string>")).alias("headers"))
+    return chunks.select("paper_id", "chunk_id", m["chunk_index"].alias("chunk_index"), "chunk_type", "text", "section_path", F.coalesce(m["caption"], F.lit("")).alias("caption"), F.coalesce(m["headers"], F.array().cast("array<string>")).alias("headers"), m["markdown_text"].alias("markdown_text"))
 
 
 def label(spark, a):

@@ -119,6 +119,12 @@ def rendered(chunk_id, chunk_type, section_path, body) -> Column:
     return F.concat(F.lit("["), head, F.lit("]\n"), col(body))
 
 
+def raw_text(columns: list[str]) -> Column:
+    """All that a chunk says of itself, of the columns there are: id, type, section, text, caption, table body, headers."""
+    parts = [F.array_join(c, " ") if c in ("section_path", "headers") else F.col(c) for c in ("chunk_id", "chunk_type", "section_path", "text", "caption", "markdown_text", "headers") if c in columns]
+    return F.concat_ws(" ", *parts)
+
+
 def table_text(label, caption, headers, markdown, footnotes) -> Column:
     """A table as text for retrieval: label and caption, headers, body, notes; missing parts are left out."""
     part = lambda name, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(name), c))

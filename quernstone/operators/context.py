@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CONTEXT_CHARS, CUE_WORDS, ENDPOINT_TERMS, NUMERIC_CHUNKS, OTHER_SECTIONS, POTENCY_TERMS, RESULT_SECTIONS, SOURCE_CHUNKS, SOURCE_WEIGHTS, VALUE_WITH_UNIT
-from ..functions.text import match_score, search_text, section_text
+from ..functions.text import match_score, raw_text, search_text, section_text
 
 
 def numeric_score(text, section_path, chunk_type, endpoint: str = ENDPOINT_TERMS, value: str = VALUE_WITH_UNIT) -> Column:
@@ -63,8 +63,8 @@ def contexts(kept: DataFrame) -> DataFrame:
 
 
 def attribute(records: DataFrame, used: DataFrame, fields: list[str], limit: int = SOURCE_CHUNKS) -> DataFrame:
-    """record_id with source_chunk_ids: the best matching chunks (used: paper_id, chunk_id, context_order, text) in context order; the first ones if none matches."""
-    pairs = records.join(used.select("paper_id", "chunk_id", "context_order", search_text("text").alias("_t")), "paper_id")
+    """record_id with source_chunk_ids: the best matching chunks (used: paper_id, chunk_id, context_order, text and what else a chunk has) in context order; the first ones if none matches."""
+    pairs = records.join(used.select("paper_id", "chunk_id", "context_order", search_text(raw_text(used.columns)).alias("_t")), "paper_id")
     score = reduce(lambda a, b: a + b, (match_score(F.col(f), F.col("_t"), SOURCE_WEIGHTS.get(f, 1.0)) for f in fields), F.lit(0.0))
     pairs = pairs.select("record_id", "chunk_id", "context_order", score.alias("score"))
     w = Window.partitionBy("record_id").orderBy(F.desc("score"), "context_order")

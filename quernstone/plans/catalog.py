@@ -189,14 +189,14 @@ def context_budget(spark, d):
 
 
 STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
-LOOKED = r"trim(regexp_replace(regexp_replace(regexp_replace(lower(text), '(\d),(\d)', '\1\2', 'g'), '(\d),(\d)', '\1\2', 'g'), '\s+', ' ', 'g'))"
+LOOKED = r"trim(regexp_replace(regexp_replace(regexp_replace(lower({text}), '(\d),(\d)', '\1\2', 'g'), '(\d),(\d)', '\1\2', 'g'), '\s+', ' ', 'g'))"
 TRACED = rf"""kept AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY step, chunk_index, chunk_id) AS context_order FROM three WHERE step = 1 OR keep2 OR (step = 3 AND base3 + run <= 1500)),
-found AS (SELECT paper_id, array_to_string(list_slice(string_split({LOOKED}, ' '), 1, 3), ' ') AS v FROM chunks WHERE chunk_index = 0),
+found AS (SELECT paper_id, array_to_string(list_slice(string_split({LOOKED.replace("{text}", "text")}, ' '), 1, 3), ' ') AS v FROM chunks WHERE chunk_index = 0),
 scored AS (SELECT paper_id, chunk_id, context_order, CASE WHEN v = '' OR v IN ('none', 'null', 'not stated', 'not reported') THEN 0.0 ELSE
   CASE WHEN v <> '' AND CASE WHEN length(v) <= 3 AND regexp_matches(v, '^[a-z0-9]+$') THEN regexp_matches(t, '(^|[^a-z0-9])' || v || '([^a-z0-9]|$)') ELSE contains(t, v) END THEN 3.0 ELSE 0.0 END
   + 2.1 * len(list_filter(list_distinct(regexp_extract_all(v, '(?:^|[^a-z0-9.])(\d+(?:\.\d+)?)', 1)), lambda x: regexp_matches(t, '(^|[^0-9.])' || replace(x, '.', '\.') || '[.]*([^0-9.]|$)')))
   + least(1.5, 0.75 * len(list_filter(list_distinct(regexp_extract_all(v, '([a-z0-9][a-z0-9+\-/]{{2,}})', 1)), lambda x: x NOT IN ({STOPS}) AND NOT regexp_matches(x, '^\d+$') AND contains(t, x)))) END AS score
-  FROM (SELECT k.paper_id, k.chunk_id, k.context_order, f.v, {LOOKED} AS t FROM kept k JOIN found f USING (paper_id))),
+  FROM (SELECT k.paper_id, k.chunk_id, k.context_order, f.v, {LOOKED.replace("{text}", "concat_ws(' ', k.chunk_id, chunk_type, replace(section, ' > ', ' '), text, caption, array_to_string(headers, ' '))")} AS t FROM kept k JOIN found f USING (paper_id))),
 best AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY score DESC, context_order) AS rank, max(score) OVER (PARTITION BY paper_id) > 0 AS any_ FROM scored)"""
 
 

@@ -46,5 +46,6 @@ def read(spark: SparkSession, *paths: str) -> DataFrame:
     """Candidates of the .txt files at the paths (files or folders), duplicates dropped, first ones kept. A missing path raises."""
     if not paths:
         raise ValueError("no input path")
+    paths = tuple(sorted(set(paths)))  # a path given twice is read once
     files = spark.read.option("pathGlobFilter", "*.txt").text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("content"))
     return dedupe_candidates(normalise(records(files)))

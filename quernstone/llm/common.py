@@ -25,12 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the one the cluster names, or (tests) one of our own."""
+    """The folder all executors share: the one the cluster names, or (in one process, as in tests) one of our own. A cluster that names none has no such folder: that is an error, not a reason to lose data."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     own = spark.conf.get("quernstone.shared.dir", None)
     if not own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         own = "file://" + tempfile.mkdtemp(prefix="quernstone-")
         spark.conf.set("quernstone.shared.dir", own)
     return own

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, materialize, parts, total_bytes
 
 BUCKETS = 256
-#: Bytes hashed at once.
-PIECE = 1 << 20
+#: Bytes hashed at once; bytes of text in a range of ids (a task holds two texts of it at a time, and the sample that sets the ranges grows with their number).
+PIECE, PART = 1 << 20, 128 << 20
 #: Distances of quartiles, and what the body and the length code add at most.
 STEP = np.array([0, 1, 2, 6])
 LENGTH_BOUND = 12
@@ -91,7 +91,7 @@ def batch(rows: list[tuple]) -> pa.RecordBatch:
 def compare(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
-    n = parts(spark, total_bytes(docs), 32 << 20)
+    n = parts(spark, total_bytes(docs), PART)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("h")]
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")

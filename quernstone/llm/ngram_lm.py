@@ -33,7 +33,7 @@ from . import exchange
 from .common import Words, bounded_batches, bucketed, enter, delta, materialize, parts, stirred, total_bytes, training, utf8
 
 #: Bytes of text in a group, and for which there is one shard.
-GROUP, SHARD = 12 << 20, 8 << 20
+GROUP, SHARD = 8 << 20, 8 << 20
 #: Training occurrences of a first word for which one shard has its pairs; those of a more frequent word are dealt over more of them.
 SPLIT = 16_384
 D3, MU2 = 0.9, 1000.0

@@ -14,7 +14,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WIDTH = 512
+WIDTH = 8192
+#: Bytes of answers that leave a shard together.
+TOGETHER = 4 << 20
 ROWS = "g long, shard int, blob binary"
 
 
@@ -123,8 +125,15 @@ class Exchange:
         def work(batches):
             for (shard,), rows in runs(batches, "shard"):
                 if fan == 1:
+                    ready, size = [], 0
                     for g, x in settle(shard, [(g, x) for g, _, x in rows]):
-                        yield record([(g, shard, x)])
+                        ready.append((g, shard, x))
+                        size += len(x)
+                        if size >= TOGETHER:
+                            yield record(ready)
+                            ready, size = [], 0
+                    if ready:
+                        yield record(ready)
                     continue
                 pieces = [(sub, g, x) for sub, _, blob in rows for g, x in unframe(blob)]
                 of, out = {g: sub for sub, g, _ in pieces}, {}

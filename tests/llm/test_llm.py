@@ -81,6 +81,16 @@ def test_hashes_tell_words_apart():
     assert again.hashes()[1::2].tolist() == one.tolist()
 
 
+def test_words_of_one_polynomial_hash_stay_apart(spark):
+    one, two = thue_morse(10, "x", "y")
+    some = [" ".join(["a", w, *"bcdefghijkl"]) for w in (one, two)] + [one, two]
+    rows = [(k, t, "en", "s", len(t), 7, 8, 9) for k, t in enumerate(some)]
+    table = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    assert all(r.n_removed == 0 for r in substring.digest(table).collect())
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substring.digest(table).collect()) == plain_removals([r[:2] for r in rows])
+    check_packing([r[:2] for r in rows], packing.pack(table, public_tokenizers.path("word_bpe_49k.json")).collect())
+
+
 def test_memo_checks_what_it_finds():
     words = [b"a", b"bb", b"ccc", b"bb"]
     memo = Memo(lambda ws: (np.array([len(w) for w in ws], np.uint32), np.ones(len(ws), np.int64)), limit=10, slots=4)

@@ -1,9 +1,10 @@
 """License scans by conditional compression.
 
 Texts are read whole, as words; what stands between words (line breaks, comment marks) does not count, so a notice may be wrapped over lines. Around each cue lies a candidate block, as many words to both sides as the longest
-template can take; blocks that touch are one, read in windows that overlap by that many words. Each template whose words are in the block is confirmed by wording: they are aligned with the block's best place by edit distance, and the differences are listed. At most
-ALLOWED of the template's words may differ. The place, in lower case, is compressed alone and with the template as a zstandard raw dictionary, and has to get smaller. The template with the least share of differences is taken (then: with the most bytes saved, then the first name),
-its words are masked, and the block is asked again until nothing is confirmed.
+template can take; blocks that touch are one, read in windows that overlap by that many words. A block, in lower case, is compressed alone and with each template as a zstandard raw dictionary, and templates are ranked by the bytes they save.
+Down that ranking, to its end if need be, templates are confirmed by wording: the template's words are aligned with the block's best place by edit distance, and the differences are listed. At most ALLOWED of the template's words may differ, and the place itself has to get smaller by the template.
+What stands around a place compresses too, so the ranking is made again between the first template confirmed and those confirmed at places that overlap its own: the one that saves most bytes of its place is taken (then: with the least share of differences, then the first name).
+Its words go, and what is left on both sides of it is ranked again until nothing is confirmed.
 
 Nulls and ties: a null or empty text has no block. Each word belongs to one notice at most. Repeated rows and a null doc_id are scanned like any other. Columns besides doc_id and text are not read.
 """
@@ -88,44 +89,76 @@ class Scanner:
         self.reach = max((len(w) + int(allowed * len(w)) for w in self.words.values()), default=0)
         self.alone = zstandard.ZstdCompressor(level=19, write_content_size=False)
         self.given = {k: zstandard.ZstdCompressor(level=19, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k, t in templates.items()}
-        self.known: dict[tuple[str, str], int] = {}
-
-    def saved(self, name: str, place: str) -> int:
-        """Bytes that the template saves of a place."""
-        key = name, BREAK.sub(" ", place.lower())
-        if key not in self.known:
-            if len(self.known) > 10_000:
+        self.known: dict[str, list[str]] = {}
+
+    def saved(self, text: str, names) -> dict[str, int]:
+        """Bytes that each template saves of a text."""
+        data = BREAK.sub(" ", text.lower()).encode("utf-8", "replace")
+        alone = len(self.alone.compress(data))
+        return {k: alone - len(self.given[k].compress(data)) for k in names}
+
+    def rank(self, block: str) -> list[str]:
+        """All templates, those that save most bytes of the block first."""
+        if block not in self.known:
+            if len(self.known) > 1_000:
                 self.known.clear()
-            data = key[1].encode("utf-8", "replace")
-            self.known[key] = len(self.alone.compress(data)) - len(self.given[name].compress(data))
-        return self.known[key]
-
-    def best(self, text: str, marks: list[tuple[int, int]], words: list[str | None]):
-        """(name, saved, differences, number, words of the template, matched stretch, first word, end) or None; a masked word is None."""
-        best, first = None, 0
-        for open_, stretch in groupby(words, lambda w: w is not None):
-            here = list(stretch)
-            there = Counter(here)
-            for name, template in self.words.items() if open_ else ():
-                # a word of the template that the stretch lacks is a difference
-                if sum(max(0, n - there[w]) for w, n in self.counts[name].items()) > self.allowed * len(template):
-                    continue
-                n, a, b, found = aligned(template, here)
-                if n <= self.allowed * len(template) and b > a:
-                    a, b = a + first, b + first
-                    place = text[marks[a][0] : marks[b - 1][1]]
-                    saved = self.saved(name, place)
-                    key = (n / len(template), -saved, name, a)
-                    if saved > 0 and (best is None or key < best[0]):
-                        best = (key, (name, saved, found, n, len(template), place, a, b))
-            first += len(here)
-        return best and best[1]
+            saved = self.saved(block, self.words)
+            self.known[block] = sorted(saved, key=lambda k: (-saved[k], k))
+        return self.known[block]
+
+    def wording(self, name: str, words: list[str], s: int, e: int):
+        """(differences, first word, end, the differences) of the template's best place in words[s:e], or None if too many differ."""
+        most, there = self.allowed * len(self.words[name]), Counter(words[s:e])
+        # a word of the template that the stretch lacks is a difference
+        if sum(max(0, n - there[w]) for w, n in self.counts[name].items()) > most:
+            return None
+        n, a, b, found = aligned(self.words[name], words[s:e])
+        return (n, s + a, s + b, found) if n <= most and b > a else None
+
+    def best(self, text: str, marks: list[tuple[int, int]], words: list[str]):
+        """(name, saved, differences, number, words of the template, matched stretch, first word, end) of a notice, or None."""
+
+        def notice(name, n, a, b, found):
+            place = text[marks[a][0] : marks[b - 1][1]]
+            saved = self.saved(place, [name])[name]
+            return (name, saved, found, n, len(self.words[name]), place, a, b) if saved > 0 else None
+
+        for name in self.rank(text[marks[0][0] : marks[-1][1]]) if words else ():
+            at = self.wording(name, words, 0, len(words))
+            if first := at and notice(name, *at):
+                break
+        else:
+            return None
+        (a, b), rivals = first[6:], [first]
+        for name in self.words:
+            far = len(self.words[name]) + int(self.allowed * len(self.words[name]))
+            s, e = max(0, a - far), min(len(words), b + far)
+            while name != first[0] and (at := self.wording(name, words, s, e)):
+                if at[1] < b and at[2] > a:
+                    rivals += filter(None, [notice(name, *at)])
+                    break
+                s, e = (at[2], e) if at[2] <= a else (s, at[1])
+        return min(rivals, key=lambda x: (-x[1], x[3] / x[4], x[0]))
 
     def confirm(self, block: str):
-        """The best notice of a block, as best() gives it, or None."""
+        """One notice of a block, as best() gives it, or None."""
         marks = [m.span() for m in WORD.finditer(block)]
         return self.best(block, marks, [block[a:b].lower() for a, b in marks])
 
+    def every(self, text: str, marks: list[tuple[int, int]], words: list[str | None]):
+        """best() of the words, of what is left on both sides, and so on; a masked word is None."""
+        todo, at = [], 0
+        for open_, stretch in groupby(words, lambda w: w is not None):
+            n = len(list(stretch))
+            todo += [(at, at + n)] * open_
+            at += n
+        while todo:
+            s, e = todo.pop()
+            if got := self.best(text, marks[s:e], words[s:e]):
+                a, b = s + got[6], s + got[7]
+                yield (*got[:6], a, b)
+                todo += [(s, a), (b, e)]
+
     def notices(self, text: str):
         """(first character, notice) of each notice, by place."""
         cues = [m.start() for m in CUE.finditer(text)]
@@ -148,10 +181,8 @@ class Scanner:
             while s < len(words):
                 e = min(len(words), s + width)
                 upto = e if e == len(words) else e - self.reach  # what begins after it is the next window's
-                here = words[s:e]
-                while got := self.best(text, marks[first + s : first + e], here):
+                for got in list(self.every(text, marks[first + s : first + e], words[s:e])):
                     a, b = got[6:]
-                    here[a:b] = [None] * (b - a)
                     if s + a < upto:
                         words[s + a : s + b] = [None] * (b - a)
                         out.append((marks[first + s + a][0], got))

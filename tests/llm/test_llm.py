@@ -492,6 +492,20 @@ def test_every_license_of_a_block(spark):
     assert licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).count() == len(names)
 
 
+def test_compression_ranks_the_templates():
+    s = licenses.Scanner()
+    header = licenses.TEMPLATES["Apache-2.0-header"].replace("except", "unless")  # its first words are a whole shorter template
+    for around in ("", "word " * 150, licenses.TEMPLATES["Apache-2.0"] + " ", "licensed under the terms of what follows, version 3. "):
+        (_, got), = [x for x in s.notices(around + header + " " + around[::-1]) if x[1][4] > 7]
+        assert got[0] == "Apache-2.0-header" and got[2] == ["except->unless"]
+    for name, template in licenses.TEMPLATES.items():
+        block = "Some text. " + template + " And more of it."
+        ranked, saved = s.rank(block), s.saved(block, licenses.TEMPLATES)
+        assert ranked[0] == name and sorted(ranked) == sorted(licenses.TEMPLATES) and [saved[k] for k in ranked] == sorted(saved.values(), reverse=True)
+    # what stands around makes 3.0 save more of the block, at the place 2.0 does
+    assert [g[0] for _, g in s.notices("version 3. version 3. " + licenses.TEMPLATES["GPL-2.0"] + " the terms of version 3.")] == ["GPL-2.0"]
+
+
 # 1
 
 

@@ -1,12 +1,13 @@
 """Main text of web pages, with a host's boilerplate found by suffix array.
 
 A page is read into blocks of text. Blocks within elements that say what they are (navigation, page header, footer, aside, form, advert, cookie notice, reader comments, ...)
-go, and so do scripts and styles. If the page marks its article (one <article>; else <main>, with what articles it holds; else all articles), the blocks inside are its text. Of a page that does not, the host's other pages decide:
-the pages' token streams are put one after another, a suffix array sorted by prefix doubling gives every run of RUN tokens that distinct pages share,
-and blocks mostly covered by shared runs go; unique runs stay. Pages with the same text count as one page there, so a copied article is no boilerplate.
+go, and so do scripts and styles. The token streams of all pages of a host are put one after another, and a suffix array sorted by prefix doubling gives every run of RUN tokens that distinct pages share;
+blocks mostly covered by shared runs go; unique runs stay. Pages with the same text count as one page there, so a copied article is no boilerplate.
+Where a page marks its article (one <article>; else <main>, with what articles it holds; else all articles), the mark is checked after that: the blocks inside are its text, even if other pages have them too (quotations, copies), and those around them are not.
+What stands around marked articles tells what is boilerplate of the host, what stands inside does not; so a page without a mark is judged by all pages of its host. With marks=False the suffix array alone decides inside articles.
 
-Pages of one host that do not mark their article are dealt by a hash of the page into groups of about GROUP_PAGES pages or GROUP_BYTES bytes, each with a suffix array of its own, so that a host with any share of all pages is dealt over many tasks.
-Where a host has several groups, each sends a hash of every distinct run once, with the least and the greatest of its pages; runs that distinct pages of the host share return to the groups that have them. So the result does not depend on groups or partitions.
+Pages of one host are dealt by a hash of the page into groups of about GROUP_PAGES pages or GROUP_BYTES bytes, each with a suffix array of its own, so that a host with any share of all pages is dealt over many tasks.
+Where a host has several groups, each sends a hash of every distinct run that may tell boilerplate once, with the least and the greatest of its pages; runs that distinct pages of the host share return to the groups that have sent them. So the result does not depend on groups or partitions.
 
 Nulls and ties: null html gives an empty text; a null url is a host of its own (''). A page alone on its host keeps what its own structure leaves. Repeated rows stay repeated. Columns besides page_id, url and html are not read.
 """
@@ -15,14 +16,16 @@ from __future__ import annotations
 
 import html as entities
 import re
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, bounded_batches, materialize, mix, parts
+from .common import BASE, bounded_batches, mix, parts
 
 RUN, COVERED = 6, 0.7
 GROUP_PAGES, GROUP_BYTES = 256, 8 << 20
@@ -50,8 +53,8 @@ def named(attributes: str) -> set[str]:
     return {w.lower() for m in NAMES_IN.finditer(attributes) for w in WORD.findall(m[1] or m[2] or m[3] or "")}
 
 
-def blocks(source: str) -> tuple[list[str], bool]:
-    """Blocks of text in page order, and whether the page marks its article."""
+def streams(source: str) -> tuple[list[str], list[bool], bool]:
+    """Blocks of text in page order, whether each may be main text, and whether the page marks its article."""
     found: list[tuple[str, int, str]] = []  # part of the page, number of its article (0: none), text
     stack: list[tuple[str, bool, tuple[str, int]]] = []  # name, dropped, part of the page
     articles = 0
@@ -144,28 +147,46 @@ def blocks(source: str) -> tuple[list[str], bool]:
     flush()
     # one article is the text; several are parts of <main>, or the text together where there is none
     inside = {n for _, n, _ in found if n}
-    chosen = [x for _, n, x in found if n] if len(inside) == 1 else [x for part, _, x in found if part] or [x for _, n, x in found if n]
-    return (chosen, True) if chosen else ([x for _, _, x in found], False)
+    main = any(part for part, _, _ in found)
+    chosen = [bool(part) if main and len(inside) != 1 else bool(n) for part, n, _ in found]
+    marked = any(chosen)
+    return [x for _, _, x in found], chosen if marked else [True] * len(found), marked
+
+
+def blocks(source: str) -> tuple[list[str], bool]:
+    """Blocks that may be main text in page order, and whether the page marks its article."""
+    texts, chosen, marked = streams(source)
+    return [x for x, c in zip(texts, chosen, strict=True) if c], marked
+
+
+def digest(page: list[str]) -> int:
+    """What tells a page from pages with another text."""
+    return xxhash.xxh64_intdigest("\n".join(page).encode("utf-8", "replace")) - 2**63
 
 
 class Runs:
-    """The runs of `run` words of some pages by suffix array; of each distinct run the least and greatest page (pages: a hash of the text)."""
+    """The runs of `run` words of some pages by suffix array; of each distinct run the least and greatest page (pages: a hash of the text) that has it outside of a marked article."""
 
-    def __init__(self, pages: list[list[str]], run: int = RUN):
+    def __init__(self, pages: list[list[str]], run: int = RUN, owns: list[int] | None = None, inside: list[list[bool]] | None = None):
         self.pages, self.run = pages, run
         names: dict[str, int] = {}
-        of, ids, block, at = [], [], [], 0
-        for page in pages:
-            own = xxhash.xxh64_intdigest("\n".join(page).encode("utf-8", "replace")) - 2**63
-            for text in page:
-                for w in text.split(" "):
-                    ids.append(names.setdefault(w, len(names) + 1))
-                    of.append(own)
-                    block.append(at)
+        of, ids, block, tells, at = [], [], [], [], 0
+        for k, page in enumerate(pages):
+            own, before = digest(page) if owns is None else owns[k], None
+            for text, marked in zip(page, inside[k] if inside else [False] * len(page), strict=True):
+                words = text.split(" ")
+                if before is not None and before != marked:  # a border of the article ends a run
+                    words.insert(0, "")
+                before = marked
+                ids += [names.setdefault(w, len(names) + 1) if w else 0 for w in words]
+                block += [at if w else -1 for w in words]
+                of += [own] * len(words)
+                tells += [not marked] * len(words)
                 at += 1
             ids.append(0)
             of.append(own)
             block.append(-1)
+            tells.append(False)
         self.ids, of, self.block = np.array(ids, np.int64), np.array(of, np.int64), np.array(block)
         self.words, self.blocks = list(names), at
         self.suffixes = ranked(self.ids, len(names), run)
@@ -173,8 +194,9 @@ class Runs:
         first = np.r_[True, rank[1:] != rank[:-1]] if len(rank) else np.zeros(0, bool)
         self.first, self.group = suffixes[first], np.cumsum(first) - 1
         self.low, self.high = np.full(len(self.first), 2**63 - 1), np.full(len(self.first), -(2**63))
-        np.minimum.at(self.low, self.group, of[suffixes])
-        np.maximum.at(self.high, self.group, of[suffixes])
+        told = np.array(tells, bool)[suffixes]
+        np.minimum.at(self.low, self.group[told], of[suffixes[told]])
+        np.maximum.at(self.high, self.group[told], of[suffixes[told]])
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each distinct run."""
@@ -238,43 +260,55 @@ def covered_shares(pages: list[list[str]], block: np.ndarray, at: int, common: n
     return out
 
 
-def extract(pages: DataFrame, run: int = RUN, covered: float = COVERED) -> DataFrame:
+def cut(page: list[str], chosen: list[bool]) -> list[list[str]]:
+    """The stretches of blocks around what is chosen."""
+    return [[x for x, _ in stretch] for c, stretch in groupby(zip(page, chosen, strict=True), lambda x: x[1]) if not c]
+
+
+def extract(pages: DataFrame, run: int = RUN, covered: float = COVERED, marks: bool = True) -> DataFrame:
     """page_id, url, text, n_chars for every row."""
     spark = pages.sparkSession
     bounded_batches(spark)
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+    rows = rows.withColumn("host", F.lower(F.coalesce(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))))
+    size = F.sum(F.coalesce(F.octet_length("html"), F.lit(0)))
+    n = parts(spark, rows.agg(size).first()[0] or 0, GROUP_BYTES)
+    # at most one row for GROUP_PAGES pages or GROUP_BYTES bytes, so that the pages need not move for it
+    sizes = rows.groupBy("host").agg(F.greatest(F.ceil(F.count("*") / GROUP_PAGES), F.ceil(size / GROUP_BYTES)).alias("groups")).filter("groups > 1")
+    dealt = rows.join(F.broadcast(sizes), "host", "left").withColumn("g", F.when(F.col("groups") > 1, F.pmod(F.xxhash64("page_id", "url", "html"), "groups")).otherwise(F.lit(0)).cast("long"))
 
     def read(batches):
         for b in batches:
-            got = [blocks(x or "") for x in b.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("host"), pa.array([x for x, _ in got], pa.list_(pa.string())), pa.array([bool(x) and not marked for x, marked in got])], ["page_id", "url", "host", "blocks", "open"])
-
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    parsed = materialize(rows.withColumn("host", host).mapInArrow(read, "page_id long, url string, host string, blocks array<string>, open boolean"))
-    text = F.concat_ws("\n", "blocks")
-    settled = parsed.filter(~F.col("open")).select("page_id", "url", text.alias("text"), F.length(text).alias("n_chars").cast("long"))
-    open_ = parsed.filter("open").select("page_id", "url", "host", "blocks")
-    nbytes = open_.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    if not nbytes:
-        return settled
-    sizes = open_.groupBy("host").agg(F.greatest(F.ceil(F.count("*") / GROUP_PAGES), F.ceil(F.sum(F.octet_length(text)) / GROUP_BYTES)).alias("groups"))
-    n = parts(spark, nbytes, GROUP_BYTES)
-    dealt = materialize(open_.join(sizes, "host").withColumn("g", F.pmod(F.xxhash64("page_id", "url", "blocks"), F.col("groups"))))
+            got = [streams(x or "") for x in b.column("html").to_pylist()]
+            own = [digest([x for x, c in zip(texts, chosen, strict=True) if c]) for texts, chosen, _ in got]
+            new = [pa.array(own, pa.int64()), pa.array([x for x, _, _ in got], pa.list_(pa.string())), pa.array([x for _, x, _ in got], pa.list_(pa.bool_())), pa.array([x and marks for _, _, x in got])]
+            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in ("page_id", "url", "host", "g")), *new], ["page_id", "url", "host", "g", "own", "blocks", "chosen", "marked"])
+
+    def read_telling(batches):
+        for b in read(batches):
+            chosen, marked = b.column("chosen").to_pylist(), b.column("marked").to_pylist()
+            # a border of the article ends a run here too
+            texts = [cut(x, c) if m else [x] for x, c, m in zip(b.column("blocks").to_pylist(), chosen, marked, strict=True)]
+            at = [k for k, pieces in enumerate(texts) for _ in pieces]
+            out = pa.RecordBatch.from_arrays([b.column(x).take(pa.array(at, pa.int64())) for x in ("host", "g", "own")] + [pa.array([x for pieces in texts for x in pieces], pa.list_(pa.string()))], ["host", "g", "own", "blocks"])
+            yield out.filter(pc.greater(pc.list_value_length(out.column("blocks")), 0))
 
     def send(key, part):
-        runs = Runs(part.column("blocks").to_pylist(), run)
+        runs = Runs(part.column("blocks").to_pylist(), run, part.column("own").to_pylist())
         m = len(runs.first)
         return pa.table({"host": pa.array([key[0].as_py()] * m, pa.string()), "g": np.full(m, key[1].as_py(), np.int64), "run": runs.hashes(), "low": runs.low, "high": runs.high})
 
-    sent = dealt.filter("groups > 1").select("host", "g", "blocks").repartition(n, "host", "g").groupBy("host", "g").applyInArrow(send, "host string, g long, run long, low long, high long")
+    keys = ["host", "g"]
+    telling = dealt.filter("groups > 1").select("page_id", "url", "host", "g", "html").mapInArrow(read_telling, "host string, g long, own long, blocks array<string>")
+    sent = telling.repartition(n, *keys).groupBy(*keys).applyInArrow(send, "host string, g long, run long, low long, high long")
     common = sent.groupBy("host", "run").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_set("g").alias("gs")).filter("low < high").select("host", F.explode("gs").alias("g"), "run")
 
     def settle(key, part, known):
-        pages_ = part.column("blocks").to_pylist()
-        shares = Runs(pages_, run).shares(known.column("run").to_numpy()) if pages_ else []
-        texts = ["\n".join(b for b, s in zip(page, share, strict=True) if s < covered) for page, share in zip(pages_, shares, strict=True)]
+        pages_, chosen, marked = (part.column(x).to_pylist() for x in ("blocks", "chosen", "marked"))
+        inside = [[c and m for c in page] for page, m in zip(chosen, marked, strict=True)]
+        shares = Runs(pages_, run, part.column("own").to_pylist(), inside).shares(known.column("run").to_numpy()) if pages_ else []
+        texts = ["\n".join(b for b, s, c, i in zip(*page, strict=True) if i or c and s < covered) for page in zip(pages_, shares, chosen, inside, strict=True)]
         return pa.table({"page_id": part.column("page_id"), "url": part.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array(list(map(len, texts)), pa.int64())})
 
-    keys = ["host", "g"]
-    left = dealt.select("page_id", "url", "host", "g", "blocks").groupBy(*keys).cogroup(common.groupBy(*keys))
-    return settled.unionByName(left.applyInArrow(settle, "page_id long, url string, text string, n_chars long"))
+    left = dealt.select("page_id", "url", "host", "g", "html").mapInArrow(read, "page_id long, url string, host string, g long, own long, blocks array<string>, chosen array<boolean>, marked boolean")
+    return left.repartition(n, *keys).groupBy(*keys).cogroup(common.groupBy(*keys)).applyInArrow(settle, "page_id long, url string, text string, n_chars long")

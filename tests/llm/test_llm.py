@@ -450,6 +450,47 @@ def test_groups_of_a_host_tell_each_other(spark, monkeypatch):
     assert read() == one
 
 
+def test_every_page_of_a_host_tells_its_boilerplate(spark, monkeypatch):
+    site, notice, quoted = "Welcome to our site where all the news is first", "Sign up today and never miss a story of ours", "A saying that two pages of this site hold dear to them"
+    pages = [(k, "http://h.example/", f"<div>{site}</div><article><p>Story {k} {'x' * k} of its own</p><p>{quoted if k < 3 else f'Only {k} has it'}</p><p>{notice}</p></article><p>tail {k}") for k in range(7)]
+    pages += [(10, "http://h.example/", f"<div>{site}</div><p>The one page that does not mark its text</p><p>{quoted}</p>"), (11, "http://i.example/", f"<div>{site}</div><p>Alone</p>")]
+    docs = spark.createDataFrame(pages, "page_id long, url string, html string")
+    read = lambda **how: {r.page_id: r.text for r in html_extract.extract(docs, **how).collect()}
+    one, bare = read(), read(marks=False)
+    assert one[10] == f"The one page that does not mark its text\n{quoted}" and one[11] == f"{site}\nAlone"
+    assert one[0] == f"Story 0  of its own\n{quoted}\n{notice}".replace("  ", " ") and one[5].endswith(f"Only 5 has it\n{notice}")
+    assert bare[0] == "Story 0 of its own" and bare[5] == "Story 5 xxxxx of its own\nOnly 5 has it" and bare[10] == "The one page that does not mark its text"
+    monkeypatch.setattr(html_extract, "GROUP_PAGES", 2)
+    assert read() == one and read(marks=False) == bare
+
+
+def test_shared_runs_against_a_plain_version():
+    r, run = random.Random(5), 3
+    for _ in range(200):
+        pages = [[" ".join(r.choice("abcd") for _ in range(r.randint(1, 6))) for _ in range(r.randint(0, 5))] for _ in range(r.randint(1, 5))]
+        inside = [[r.random() < 0.3 for _ in page] for page in pages]
+        owns = [r.randint(0, 3) for _ in pages]
+        at, of = {}, []  # pages of each run outside articles; (page, block) of each word of each run
+        for k, page in enumerate(pages):
+            words = [(w, b, inside[k][b]) for b, text in enumerate(page) for w in text.split(" ")]
+            for i in range(len(words) - run + 1):
+                here = words[i : i + run]
+                if len({x for _, _, x in here}) == 1:
+                    name = tuple(w for w, _, _ in here)
+                    of.append((name, k, i, [b for _, b, _ in here]))
+                    at.setdefault(name, set()).update({owns[k]} if not here[0][2] else ())
+        got = html_extract.Runs(pages, run, owns, inside).shares()
+        for k, page in enumerate(pages):
+            start = 0
+            for b, text in enumerate(page):
+                n = len(text.split(" "))
+                covers = [(i, blocks) for name, j, i, blocks in of if j == k and len(at[name]) > 1]
+                whole = {x for i, _ in covers for x in range(i, i + run)} >= set(range(start, start + n))
+                within = {x for i, blocks in covers if set(blocks) == {b} for x in range(i, i + run)}
+                assert got[k][b] == pytest.approx(1 if whole else len(within) / n)
+                start += n
+
+
 # 3
 
 

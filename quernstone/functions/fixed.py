@@ -71,6 +71,7 @@ SOURCE_WEIGHTS = {
     "value": 8.0, "statistics": 4.0, "endpoint": 3.0, "compound_or_treatment": 3.0, "comparator_or_control": 2.5, "dose": 2.5, "duration": 2.5,
     "model_or_population": 2.0, "assay_or_study_type": 1.5, "sample_size": 1.5, "unit": 1.0, "route": 1.0,
 }
+WORD_WEIGHT = 0.25
 STOP_WORDS = [
     "and", "the", "with", "without", "group", "groups", "patient", "patients", "cell", "cells", "mouse", "mice", "model", "models", "study", "therapy", "treatment", "cancer", "pdac", "pancreatic",
 ]

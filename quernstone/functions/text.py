@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .fixed import NO_VALUE, SPLIT_TOKENS, STOP_WORDS, TAIL_TOKENS
+from .fixed import NO_VALUE, SPLIT_TOKENS, STOP_WORDS, TAIL_TOKENS, WORD_WEIGHT
 
 
 def col(c) -> Column:
@@ -137,14 +137,14 @@ def pmcid(c) -> Column:
     return F.when(up == "", None).when(up.rlike("^PMC"), up).when(up.rlike(r"^\d+$"), F.concat(F.lit("PMC"), up)).otherwise(up)
 
 
-def match_score(value, text, weight: float) -> Column:
-    """How well a value is found in a (search-normalised) text: the whole phrase, its numbers at 0.7, and its other words at 0.25 each up to half of the weight."""
+def match_score(value, text, weight: float, word: float = WORD_WEIGHT) -> Column:
+    """How well a value is found in a (search-normalised) text: the whole phrase at the weight, its numbers at 0.7 of it, and its other words at `word` each up to half of the weight."""
     v = search_text(F.coalesce(col(value).cast("string"), F.lit("")))
     t = col(text)
     phrase = F.when(has_phrase(t, v), F.lit(weight)).otherwise(0.0)
     by_number = F.aggregate(numbers(v), F.lit(0.0), lambda a, n: a + F.when(has_number(t, n), F.lit(0.7 * weight)).otherwise(0.0))
     hits = F.size(F.filter(tokens(v), lambda w: F.contains(t, w)))
-    return F.when((v == "") | v.isin(NO_VALUE), 0.0).otherwise(phrase + by_number + F.least(F.lit(0.5 * weight), 0.25 * hits))
+    return F.when((v == "") | v.isin(NO_VALUE), 0.0).otherwise(phrase + by_number + F.least(F.lit(0.5 * weight), word * hits))
 
 
 def any_match(c, patterns: list[str]) -> Column:

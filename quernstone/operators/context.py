@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fixed import CONTEXT_CHARS, CUE_WORDS, ENDPOINT_TERMS, NUMERIC_CHUNKS, OTHER_SECTIONS, POTENCY_TERMS, RESULT_SECTIONS, SOURCE_CHUNKS, SOURCE_WEIGHTS, VALUE_WITH_UNIT
+from ..functions.fixed import CONTEXT_CHARS, CUE_WORDS, ENDPOINT_TERMS, NUMERIC_CHUNKS, OTHER_SECTIONS, POTENCY_TERMS, RESULT_SECTIONS, SOURCE_CHUNKS, SOURCE_WEIGHTS, VALUE_WITH_UNIT, WORD_WEIGHT
 from ..functions.text import match_score, raw_text, search_text, section_text
 
 
@@ -62,10 +62,10 @@ def contexts(kept: DataFrame) -> DataFrame:
     return rows.select("paper_id", F.array_join("rows.rendered", "\n\n").alias("context"), F.col("rows.chunk_id").alias("used_chunk_ids"), F.transform("rows", lambda r: F.struct(r["chunk_type"].alias("chunk_type"), r["rendered"].alias("rendered"))).alias("parts"))
 
 
-def attribute(records: DataFrame, used: DataFrame, fields: list[str], limit: int = SOURCE_CHUNKS) -> DataFrame:
-    """record_id with source_chunk_ids: the best matching chunks (used: paper_id, chunk_id, context_order, text and what else a chunk has) in context order; the first ones if none matches."""
+def attribute(records: DataFrame, used: DataFrame, fields: list[str], limit: int = SOURCE_CHUNKS, word: float = WORD_WEIGHT) -> DataFrame:
+    """record_id with source_chunk_ids: the best matching chunks (used: paper_id, chunk_id, context_order, text and what else a chunk has) in context order; the first ones if none matches. word: what each word of a value adds."""
     pairs = records.join(used.select("paper_id", "chunk_id", "context_order", search_text(raw_text(used.columns)).alias("_t")), "paper_id")
-    score = reduce(lambda a, b: a + b, (match_score(F.col(f), F.col("_t"), SOURCE_WEIGHTS.get(f, 1.0)) for f in fields), F.lit(0.0))
+    score = reduce(lambda a, b: a + b, (match_score(F.col(f), F.col("_t"), SOURCE_WEIGHTS.get(f, 1.0), word) for f in fields), F.lit(0.0))
     pairs = pairs.select("record_id", "chunk_id", "context_order", score.alias("score"))
     w = Window.partitionBy("record_id").orderBy(F.desc("score"), "context_order")
     best = Window.partitionBy("record_id")

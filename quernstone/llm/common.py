@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import re
 import tempfile
 import uuid
 import zlib
@@ -16,6 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import bounded_batches  # noqa: F401  the operators take it from here
+
 #: Stands for a null doc_id where ids are compared: a null id comes after every other.
 NULL_ID = 2**63 - 1
 
@@ -53,14 +54,6 @@ def bucketed(df: DataFrame, buckets: int, column: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Texts are long: unless the session says otherwise, Python workers get 1,000 rows or 16 MB at a time instead of 10,000 rows."""
-    for key, default, ours in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", None, str(16 << 20))):
-        now = spark.conf.get(key, None)
-        if now == default or (default is None and now is not None and int(re.sub(r"\D", "", now) or 0) > 16 << 20):
-            spark.conf.set(key, ours)
-
-
 def total_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of a text column; one number to the driver."""
     return docs.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0

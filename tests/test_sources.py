@@ -63,6 +63,25 @@ def test_jats(spark, tmp_path):
     assert [r.error for r in rows if r.error] == ["ValueError: no <body>"]
 
 
+def test_page_trees_go_with_their_page(spark):
+    """No tree waits for the garbage collector, whatever the number of pages in a batch."""
+    import gc
+
+    trees = lambda: sum(isinstance(x, html_meta.Node) for x in gc.get_objects())
+    gc.collect()
+    before = trees()
+    gc.disable()
+    try:
+        for _ in range(50):
+            html_meta.of_html("<title>T</title><p>x<b>y</b></p>")
+        assert trees() == before
+    finally:
+        gc.enable()
+    rows = spark.createDataFrame([(1, "u", "<title>A page</title>"), (2, None, None)], "id long, url string, html string")
+    assert [tuple(r) for r in html_meta.titles(rows, keep=["id"]).orderBy("id").collect()] == [(1, "A page", "", "", ""), (2, "", "", "", "")]
+    assert [tuple(r) for r in html_meta.titles(rows).orderBy("id").collect()] == [(1, "u", "<title>A page</title>", "A page", "", "", ""), (2, None, None, "", "", "", "")]
+
+
 def test_html_metadata(spark, tmp_path):
     long = "This is a long enough paragraph of the article that tells what was found in it, at last. " * 2
     (tmp_path / "a.html").write_text(f'<meta name="citation_title" content="T1"><meta name="citation_doi" content="doi: 10.1/a"><div class="abstract">{long}</div>', encoding="utf-8")

@@ -135,11 +135,14 @@ def post_key(fields: list[str], columns: list[str]) -> list[Column]:
 
 
 def merge_duplicates(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """The first record of each key by _pos, with the chunk ids of all in order. Ids of one key are gathered; a key is one finding of one paper."""
-    keys = {"_key": F.struct("paper_id", *(k.alias(f"k{i}") for i, k in enumerate(post_key(fields, rows.columns))))}
+    """The first record of each key by _pos, with the chunk ids of all in order. Rows go once to their paper and are sorted there: most keys have one row, so nothing is gained by merging before that. Ids of one key are
+    gathered; a key is one finding of one paper."""
+    keys = {f"_k{i}": k for i, k in enumerate(post_key(fields, rows.columns))}
+    w = Window.partitionBy("paper_id", *keys).orderBy("_pos", "source_chunk_ids")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = rows.withColumns(keys).repartition("paper_id").withColumns({"_n": F.row_number().over(w), "_ids": F.collect_list(F.struct("source_chunk_ids")).over(whole)}).filter("_n = 1")
     rest = [c for c in rows.columns if c not in ("source_chunk_ids",)]
-    out = rows.withColumns(keys).groupBy("_key").agg(F.min_by(F.struct(*rest), "_pos").alias("_row"), F.array_sort(F.collect_list(F.struct("_pos", "source_chunk_ids"))).alias("_ids"))
-    return out.select("_row.*", F.array_distinct(F.flatten("_ids.source_chunk_ids")).alias("source_chunk_ids"))
+    return out.select(*rest, F.array_distinct(F.flatten("_ids.source_chunk_ids")).alias("source_chunk_ids"))
 
 
 def postprocess(records: DataFrame, fields: list[str], config: PostConfig) -> DataFrame:

@@ -60,14 +60,16 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand", "p_size")
     q = F.col("l_quantity").cast("int")
-    shapes = [
-        F.format_string("%d months", q), F.format_string("%d-%d MPa", q, q + 5), F.format_string("%d +/- 2 GPa", q), F.format_string("<%d nm", q),
-        F.format_string("%d (1-%d) weeks", q, q + 9), F.lit("not reported"), F.format_string("grade %d", q),
-    ]
-    value = F.element_at(F.array(*shapes), F.col("l_linenumber"))
+    n, text = F.col("l_linenumber"), lambda *parts: F.concat(*(p.cast("string") if not isinstance(p, str) else F.lit(p) for p in parts))
+    # only the shape at hand is made: formats are slow, and the records are read more than once
+    value = (
+        F.when(n == 1, text(q, " months")).when(n == 2, text(q, "-", q + 5, " MPa")).when(n == 3, text(q, " +/- 2 GPa")).when(n == 4, text("<", q, " nm"))
+        .when(n == 5, text(q, " (1-", q + 9, ") weeks")).when(n == 6, F.lit("not reported")).otherwise(text("grade ", q))
+    )
+    digits = n.cast("string")
     paper = F.concat(F.lit("O"), F.col("l_orderkey").cast("string"))
     return lines.join(parts, "l_partkey").select(
-        paper.alias("paper_id"), F.format_string("%s::r%04d", paper, F.col("l_linenumber")).alias("record_id"), value.alias("value"), F.col("p_type").alias("record_type"), F.col("p_brand").alias("endpoint"),
+        paper.alias("paper_id"), F.concat(paper, F.lit("::r"), F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), F.lit("0"))).alias("record_id"), value.alias("value"), F.col("p_type").alias("record_type"), F.col("p_brand").alias("endpoint"),
         F.array(F.concat(F.lit("c"), F.col("l_linenumber").cast("string"))).alias("source_chunk_ids"), F.col("l_linenumber").alias("_pos"), F.col("p_size").alias("size"), q.alias("quantity"),
     )
 

@@ -146,3 +146,15 @@ def test_identity(spark):
     assert [r.paper_id for r in identity.unfinished(rows.select("paper_id"), status).orderBy("paper_id").collect()] == ["b", "e"]
     got = identity.dedupe_acquired(spark.createDataFrame([(0, "a", "d"), (1, "a", "d"), (2, "", ""), (3, None, None)], "_pos int, paper_id string, doi string"))
     assert sorted(r._pos for r in got.collect()) == [0, 2, 3]
+
+
+def plan(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString(), rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merging_sends_rows_once(spark):
+    """A key's rows are merged by one sort of their paper, not by aggregates that hold whole records."""
+    rows = spark.createDataFrame([("p", "r1", "5", ["c2"], 1), ("p", "r2", "5", ["c1"], 0), ("p", "r3", "6", ["c3"], 2), ("q", "r4", "5", ["c4", "c4"], 3)], "paper_id string, record_id string, f string, source_chunk_ids array<string>, _pos int")
+    merged = records.merge_duplicates(rows, ["f"])
+    assert plan(merged)[1].count("Exchange") == 1 and "Aggregate" not in plan(merged)[1]
+    assert sorted((r.record_id, r.source_chunk_ids) for r in merged.collect()) == [("r2", ["c1", "c2"]), ("r3", ["c3"]), ("r4", ["c4"])]
